@@ -44,7 +44,7 @@ def scaler_table(df: DataFrame, columns=SCALED) -> DataFrame:
 
 
 def fit_scaler(df: DataFrame, columns=SCALED, target: str = TARGET) -> ScalerStats:
-    wanted = [*columns, target] if target in df.columns else list(columns)
+    wanted = list(dict.fromkeys([*columns, target] if target in df.columns else columns))
     return ScalerStats.from_frame(scaler_table(df, wanted))
 
 

@@ -5,15 +5,16 @@ right for a million short series and wrong for one that holds a third of all
 rows. ``plan_layout`` looks at the sizes first:
 
 * if the longest series fits in ``chunk_rows``, windows partition by series;
-* otherwise rows are counted per (series, time bucket) - a table that is small
-  because it has one row per bucket - and running sums over those counts give
+* otherwise rows are counted per (series, bucket of the order column) - a table
+  that is small because a bucket holds thousands of rows - and running sums over those counts give
   each bucket its first row position. Buckets are grouped into chunks of about
   ``chunk_rows`` rows, and the buckets holding the last ``halo`` rows before a
   chunk are copied into it. Windows then partition by (series, chunk), every row
   is shuffled once, and the answer is the same as over the whole series.
 
-Buckets follow the order columns. Their width starts at one day and is divided
-until no bucket is larger than a chunk, so a burst inside one day is split too.
+A bucket is an interval of the first order column. Its width starts where evenly
+spread rows would give sixteen buckets per chunk and is divided until no bucket
+is larger than a chunk, so a burst in time is split too.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ CHUNK_ROWS = 262_144
 # A bucket table up to this many rows (under 40 MB with its carried values) is
 # broadcast; a larger one is joined by shuffle.
 BROADCAST_BUCKETS = 200_000
+BUCKETS_PER_CHUNK = 16
 DAY_MICROS = 86_400_000_000
 
 CHUNK, HOME, FIRST, TOTAL = "__chunk", "__home", "__first", "__total"
@@ -79,23 +81,26 @@ def _with_buckets(df: DataFrame, order, widths) -> DataFrame:
     })
 
 
-def _sizes(df: DataFrame, series, order, widths):
+def _series_sizes(df: DataFrame, series, key: Column):
+    """Longest series, and the range of the first order column. Combined before the shuffle: one row per series."""
+    per = (df.groupBy(*series) if series else df).agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")
+    )
+    return per.agg(F.max("n"), F.min("lo"), F.max("hi")).first()
+
+
+def _bucket_sizes(df: DataFrame, series, order, widths):
+    """Largest bucket and number of buckets."""
     names = _bucket_names(widths)
     counts = _with_buckets(df.select(*series, *order), order, widths).groupBy(*series, *names).agg(
         F.count(F.lit(1)).alias("n")
     )
-    per_series = counts.groupBy(*series) if series else counts
-    per_series = per_series.agg(
-        F.sum("n").alias("total"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("buckets")
-    )
-    row = per_series.agg(
-        F.max("total").alias("longest"), F.max("largest").alias("largest"), F.sum("buckets").alias("buckets")
-    ).first()
-    return row["longest"] or 0, row["largest"] or 0, row["buckets"] or 0
+    row = counts.agg(F.max("n").alias("largest"), F.count(F.lit(1)).alias("buckets")).first()
+    return row["largest"] or 0, row["buckets"] or 0
 
 
 def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | None = None) -> Layout:
-    """Measure series and bucket sizes (one aggregate job over the key columns) and choose a layout."""
+    """Measure series (and, for long ones, bucket) sizes over the key columns and choose a layout."""
     series, order = tuple(series), tuple(order)
     chunk_rows = CHUNK_ROWS if chunk_rows is None else chunk_rows
     usable = []
@@ -105,11 +110,13 @@ def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | Non
         usable.append(name)
     if not usable:
         raise ValueError(f"first order column {order[0]!r} must be a timestamp, date or integer")
-    timed = isinstance(df.schema[order[0]].dataType, (T.TimestampNTZType, T.TimestampType, T.DateType))
-    widths = [DAY_MICROS if timed else chunk_rows]
-    longest, largest, buckets = _sizes(df, series, order, widths)
+    longest, lo, hi = _series_sizes(df, series, _key(df, order[0]))
+    longest = longest or 0
     if longest <= chunk_rows:
         return Layout(series, order, chunk_rows, longest)
+    # evenly spread rows would fill a bucket to a sixteenth of a chunk
+    widths = [max(1, (hi - lo + 1) * chunk_rows // (BUCKETS_PER_CHUNK * longest))]
+    largest, buckets = _bucket_sizes(df, series, order, widths)
     while largest > chunk_rows:
         if widths[-1] > 1:
             widths[-1] = max(1, widths[-1] >> max(1, math.ceil(math.log2(largest / chunk_rows))))
@@ -117,10 +124,10 @@ def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | Non
             # one exact key value is itself too large: split it along the next order column
             key = _key(df, usable[len(widths)])
             lo, hi = df.agg(F.min(key), F.max(key)).first()
-            widths.append(max(1, (hi - lo + 1) // (2 * math.ceil(largest / chunk_rows))))
+            widths.append(max(1, (hi - lo + 1) // (BUCKETS_PER_CHUNK * math.ceil(largest / chunk_rows))))
         else:
             break  # rows equal in every order column; the task's sort spills
-        longest, largest, buckets = _sizes(df, series, order, widths)
+        largest, buckets = _bucket_sizes(df, series, order, widths)
     return Layout(series, order, chunk_rows, longest, tuple(widths), buckets)
 
 
