@@ -140,7 +140,7 @@ def _attach(df: DataFrame, table: DataFrame, series, columns, count: int) -> Dat
         right = F.broadcast(right)
     cond = None
     for c in series:
-        eq = df[c].eqNullSafe(right[f"__k_{c}"])
+        eq = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
         cond = eq if cond is None else cond & eq
     return df.join(right, cond, "left").drop(*[f"__k_{c}" for c in series])
 
@@ -253,8 +253,10 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
     design = _lagged(t, t.df, spec, model.target)
     design = _with_shocks(t, design, spec) if ma else design.withColumn("__e0", F.lit(0.0))
     tail = _home(t, design.withColumns({"__left": t.total() - t.position()})).filter(F.col("__left") <= depth)
+    # fresh key names: history and future may come from the same table
+    past_keys = [f"past_{c}" for c in keys]
     tail = tail.select(
-        *([F.col(c) for c in series] or [F.lit(0).alias("__all")]), F.col("__left").cast("int").alias("left"),
+        *([F.col(c).alias(f"past_{c}") for c in series] or [F.lit(0).alias("past___all")]), F.col("__left").cast("int").alias("left"),
         F.col(model.target).cast("double").alias("y"), F.coalesce("__e0", F.lit(0.0)).alias("e"), "beta",
     )
     ahead = _attach(future, model.table, series, ["beta"], model.count)
@@ -301,7 +303,7 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
             result.append(level)
         return out.assign(**{name: result})
 
-    return tail.groupBy(*keys).cogroup(ahead.groupBy(*keys)).applyInPandas(recurse, schema)
+    return tail.groupBy(*past_keys).cogroup(ahead.groupBy(*keys)).applyInPandas(recurse, schema)
 
 
 # --- stationarity -----------------------------------------------------------

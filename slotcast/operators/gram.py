@@ -21,8 +21,6 @@ def gram(df: DataFrame, columns, group=()) -> DataFrame:
     k = len(columns)
     upper_i, upper_j = np.triu_indices(k)
     data = df.select(*group, *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(columns)])
-    # dropna also drops NaN, which has no place in a sum
-    data = data.dropna(subset=[f"__x{i}" for i in range(k)])
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema if f.name in group]
         + ["i int", "j int", "g double"]
@@ -39,6 +37,10 @@ def gram(df: DataFrame, columns, group=()) -> DataFrame:
         held = {}
         for pdf in batches:
             x = pdf.iloc[:, len(group):].to_numpy(dtype=float)
+            # incomplete rows are left out here: as a filter over dozens of derived
+            # columns they would make the planner infer constraints without end
+            whole = ~np.isnan(x).any(axis=1)
+            x, pdf = x[whole], pdf[whole]
             if group:
                 codes = pdf.groupby(group, sort=False, dropna=False).indices
                 parts = ((key if isinstance(key, tuple) else (key,), x[at]) for key, at in codes.items())

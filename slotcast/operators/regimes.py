@@ -21,7 +21,7 @@ from ..schema import (
 )
 
 # Rows used to place starting centres only; every row takes part in the fit.
-START_ROWS = 20_000
+START_ROWS = 5_000
 TOLERANCE = 1e-4
 
 
@@ -53,7 +53,20 @@ def _spread_starts(x: np.ndarray, k: int, seed: int) -> np.ndarray:
         pick = rng.choice(len(x), p=near / total) if total > 0 else rng.integers(len(x))
         centres.append(x[pick])
         near = np.minimum(near, ((x - x[pick]) ** 2).sum(1))
-    return np.array(centres)
+    return _settle(x, np.array(centres))
+
+
+def _settle(x: np.ndarray, centres: np.ndarray, rounds: int = 50) -> np.ndarray:
+    """Moves starting centres to rest on the small array, so that the full table needs few passes."""
+    for _ in range(rounds):
+        label = ((centres ** 2).sum(1) - 2 * x @ centres.T).argmin(1)
+        count = np.bincount(label, minlength=len(centres))
+        sums = np.stack([np.bincount(label, weights=x[:, d], minlength=len(centres)) for d in range(x.shape[1])], 1)
+        new = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+        if np.allclose(new, centres):
+            break
+        centres = new
+    return centres
 
 
 def _pass(points: DataFrame, models: dict[int, np.ndarray], dims: int):

@@ -23,11 +23,12 @@ def target_stats(df: DataFrame, column: str = TARGET, series=()) -> DataFrame:
     probs, names = [0.25, 0.5, 0.75], ["q1", "median", "q3"]
     if series:
         q = quantile_table(df, column, probs, names, series)
+        q = q.select(*[F.col(k).alias(f"__k_{k}") for k in series], *names)
         cond = None
         for k in series:
-            eq = base[k].eqNullSafe(q[k])
+            eq = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
             cond = eq if cond is None else cond & eq
-        base = base.join(q, cond).select(base["*"], *names)
+        base = base.join(q, cond)
     else:
         got = exact_quantiles(df, column, probs)
         base = base.withColumns({n: F.lit(v).cast("double") for n, v in zip(names, got)})

@@ -190,7 +190,7 @@ class Timeline:
         left = _with_buckets(df, lay.order, lay.widths)
         cond = None
         for k in keys:
-            eq = left[k].eqNullSafe(small[f"__k_{k}"])
+            eq = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
             cond = eq if cond is None else cond & eq
         joined = left.join(small, cond).drop(*names, *[f"__k_{k}" for k in keys])
         if self.halo:

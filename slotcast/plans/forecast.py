@@ -17,6 +17,7 @@ from ..operators.slices import holdout_tail, last_rows, temporal_split
 from ..schema import (
     ARIMA_HOLDOUT_ROWS, ARIMA_TRAIN_ROWS, FEATURES, SEQUENCE_LENGTH, TARGET, VALIDATION_FRACTION, present,
 )
+from ..session import materialize
 from ..sources.sinks import submission
 from .prepare import Prepared
 
@@ -101,7 +102,8 @@ def classical_forecast(train: DataFrame, test: DataFrame, family: str = "arima",
         guard = family == "arimax"
         y, ahead = (standardize_exog(f, stats, spec.exog, guard) for f in (y, ahead))
     spec = ArxSpec(**{**spec.__dict__, "d": d, "intercept": family == "arima" and d == 0})
-    y = y.select("date", TARGET, *spec.exog)
+    # the holdout, both fits and their forecasts all read this table
+    y, ahead = materialize(y.select("date", TARGET, *spec.exog)), materialize(ahead)
     validation, metrics = holdout_eval(y, spec, holdout=holdout, fit_rows=fit_rows)
     calibrator = calibrate_fit(validation, c=SCRIPT_C)
     last_year = last_rows(y, fit_rows)

@@ -14,6 +14,7 @@ from ..operators.scaling import ScalerStats, fit_scaler, scale_test, scale_train
 from ..operators.timeline import plan_layout
 from ..operators.windows import lag_and_roll
 from ..schema import REGIME_INITS, SCALED, SCALED_STEP1
+from ..session import materialize
 
 
 @dataclass
@@ -45,7 +46,9 @@ def prepare(train: DataFrame, imbalances: DataFrame, test: DataFrame, with_windo
     """
     merged = merge_imbalances(train, imbalances)
     if with_windows:
-        made, made_test, columns = featured(merged, chunk_rows=chunk_rows), featured(test, chunk_rows=chunk_rows), SCALED
+        # read by the scaler, the clustering and the result: computed once
+        made = materialize(featured(merged, chunk_rows=chunk_rows))
+        made_test, columns = featured(test, chunk_rows=chunk_rows), SCALED
     else:
         made, made_test, columns = step1_features(merged), step1_features(test), SCALED_STEP1
     scaler = fit_scaler(made, columns)

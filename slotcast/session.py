@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Naive local times must not move with the session zone, and wide expression
 # trees (about 60 output columns) must stay inside generated code.
@@ -49,3 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(shared)
         current = spark.sparkContext.getCheckpointDir()
     return current
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes an intermediate table to the shared checkpoint folder and reads it back.
+
+    For tables that several later jobs read: their plans start from a column-pruned
+    scan instead of repeating windows, and a lost executor costs a re-read only.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/slotcast-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
