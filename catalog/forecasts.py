@@ -24,7 +24,7 @@ from .windows import BOUNDS_DAYS, EW, PKEYS, PW
 AR1 = ArxSpec(p=1)
 PSERIES = dict(series=("series",), order=PANEL_ORDER)
 ESERIES = dict(series=("series",), order=("ts", "event_id"))
-AR1_FIT = "fit AS (SELECT series, regr_slope(value, l) AS phi, regr_intercept(value, l) AS c, regr_count(value, l) AS n FROM {t} GROUP BY 1)"
+AR1_FIT = "fit AS (SELECT series, regr_slope(value, l) AS phi, regr_intercept(value, l) AS c FROM {t} GROUP BY 1)"
 
 
 @register("adf_test")
@@ -89,7 +89,7 @@ def _(spark, sf):
 
 @register("holdout_eval", f"""WITH {EVENTS}, i AS (SELECT *, row_number() OVER {EW}) AS pos, count(*) OVER (PARTITION BY series) AS n,
   lag(value) OVER {EW}) AS l FROM es),
-past AS (SELECT * REPLACE (CASE WHEN n - pos < 48 + 1000 - 1 OR n <= 1048 THEN l END AS l) FROM i WHERE n - pos >= 48 AND n - pos < 48 + 1000), {AR1_FIT.format(t='past')},
+past AS (SELECT * REPLACE (CASE WHEN n - pos < 48 + 1000 - 1 THEN l END AS l) FROM i WHERE n - pos >= 48 AND n - pos < 48 + 1000), {AR1_FIT.format(t='past')},
 last AS (SELECT series, value AS y FROM i WHERE n - pos = 48),
 f AS (SELECT i.series, value AS actual, c, phi, y, (48 - (n - pos)) AS h FROM i JOIN fit ON i.series = fit.series JOIN last ON i.series = last.series WHERE n - pos < 48),
 p AS (SELECT series, actual, {AR1_AHEAD} AS predicted FROM f)
