@@ -9,6 +9,7 @@ from slotcast.operators.quality import first_gaps, interval_gaps, interval_repor
 from slotcast.operators.slices import (
     downsample, first_days, first_rows, holdout_tail, last_rows, rolling_band, temporal_split,
 )
+from slotcast.operators.timeline import plan_layout
 from slotcast.operators.windows import (
     difference, fill_lags, lag_and_roll, lag_features, rolling_features, row_index, sequence_windows, undifference,
 )
@@ -119,8 +120,8 @@ l AS (SELECT series, ts, event_id, lag(value, 96) OVER {EW}) AS value_lag_96 FRO
 SELECT series, ts, event_id, {q(filled_sql('value_lag_96', EW), 'value_lag_96')} FROM l""")
 def _(spark, sf):
     src = event_series(spark, sf).withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
-    kw = dict(series=("series",), order=("ts", "event_id"), chunk_rows=512)
-    return fill_lags(lag_features(src, ("value",), (96,), **kw), ["value_lag_96"], **kw).drop("value")
+    layout = plan_layout(src, ("series",), ("ts", "event_id"), 512)  # same rows in both steps
+    return fill_lags(lag_features(src, ("value",), (96,), layout=layout), ["value_lag_96"], layout=layout).drop("value")
 
 
 def _rolls(columns, w, stat):

@@ -198,13 +198,13 @@ def arx_fit(df: DataFrame, spec: ArxSpec, target: str = TARGET, series=(), order
     series, order = tuple(series), tuple(order)
     data = df.select(*dict.fromkeys([*series, *order, target, *spec.exog]))
     layout = layout or plan_layout(data, series, order, chunk_rows)
-    count = data.select(*series).distinct().count() if series else 1
-    one = None
+    one, count = None, 1
     if spec.ma_lags:
         t = Timeline(data, layout, _halo(spec))
         one = _fit_table(_home(t, _lagged(t, t.df, spec, target)), _stage_one_columns(spec), series, "beta1")
         # a few dozen numbers per series; kept so that later stages do not refit them
         one = one.persist()
+        count = one.count() if series else 1
         data = _attach(data, one, series, ["beta1"], count)
     t = Timeline(data, layout, _halo(spec))
     design = _lagged(t, t.df, spec, target)
@@ -216,7 +216,10 @@ def arx_fit(df: DataFrame, spec: ArxSpec, target: str = TARGET, series=(), order
         two = two.join(one.select(*keys, "beta1"), keys)
     else:
         two = two.withColumn("beta1", F.array().cast("array<double>"))
-    return ArxModel(spec, series, order, target, two.drop("__all").persist(), count)
+    two = two.drop("__all").persist()
+    if series and one is None:
+        count = two.count()
+    return ArxModel(spec, series, order, target, two, count)
 
 
 def arx_residuals(df: DataFrame, model: ArxModel, layout: Layout | None = None,

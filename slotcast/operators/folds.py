@@ -29,36 +29,36 @@ def bounds_list(df: DataFrame, **kw) -> list[tuple]:
     return [(r["fold_id"], r["val_start"], r["val_end"]) for r in fold_bounds(df, **kw).collect()]
 
 
-def fold_roles(df: DataFrame, bounds: list[tuple], ts: str = DATE) -> DataFrame:
-    """One row per (row, fold it takes part in). Bounds are literals, so this is a projection, not a join."""
+def _sides(bounds: list[tuple], ts: str):
+    """(fold, is-train, is-val) conditions per fold. Bounds are literals, so roles are a projection, not a join."""
     t = F.col(ts)
-    parts = []
     for i, (fold, start, end) in enumerate(bounds):
         start, end = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-        upper = t <= end if i == len(bounds) - 1 else t < end
-        role = F.when(t < start, "train").when((t >= start) & upper, "val")
+        yield fold, t < start, (t >= start) & (t <= end if i == len(bounds) - 1 else t < end)
+
+
+def fold_roles(df: DataFrame, bounds: list[tuple], ts: str = DATE) -> DataFrame:
+    """One row per (row, fold it takes part in)."""
+    parts = []
+    for fold, train, val in _sides(bounds, ts):
+        role = F.when(train, "train").when(val, "val")
         parts.append(F.when(role.isNotNull(), F.struct(F.lit(fold).alias("fold_id"), role.alias("role"))))
-    return df.withColumn("__f", F.explode(F.array_compact(F.array(*parts)))).select(
-        *df.columns, F.col("__f.fold_id").alias("fold_id"), F.col("__f.role").alias("role")
-    )
+    return df.select(*df.columns, F.inline(F.array_compact(F.array(*parts))))
 
 
-def fold_sizes(df: DataFrame, bounds: list[tuple], ts: str = DATE) -> DataFrame:
-    return fold_roles(df.select(ts), bounds, ts).groupBy("fold_id").agg(
-        F.count_if(F.col("role") == "train").alias("train_rows"),
-        F.count_if(F.col("role") == "val").alias("val_rows"),
-    )
+def fold_sizes(df: DataFrame, bounds: list[tuple], ts: str = DATE) -> dict[int, tuple[int, int]]:
+    """Train and validation rows per fold, counted side by side in one pass."""
+    row = df.agg(*[
+        F.count_if(side).alias(f"{name}_{fold}")
+        for fold, train, val in _sides(bounds, ts) for name, side in (("train", train), ("val", val))
+    ]).first()
+    return {fold: (row[f"train_{fold}"], row[f"val_{fold}"]) for fold, _, _ in bounds}
 
 
 def usable_bounds(df: DataFrame, bounds: list[tuple], min_rows: int = SEQUENCE_LENGTH, ts: str = DATE) -> list[tuple]:
     """Bounds of the folds that have enough rows on both sides."""
-    ok = {
-        r["fold_id"]
-        for r in fold_sizes(df, bounds, ts).filter(
-            (F.col("train_rows") >= min_rows) & (F.col("val_rows") >= min_rows)
-        ).collect()
-    }
-    return [b for b in bounds if b[0] in ok]
+    sizes = fold_sizes(df, bounds, ts) if bounds else {}
+    return [b for b in bounds if min(sizes[b[0]]) >= min_rows]
 
 
 def walk_forward_folds(df: DataFrame, folds: int = CV_FOLDS, months: int = CV_MONTHS, days: int = 0,

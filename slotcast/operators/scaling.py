@@ -28,24 +28,20 @@ class ScalerStats:
         return self.stats[column]
 
 
-def scaler_table(df: DataFrame, columns=SCALED) -> DataFrame:
-    """``column, mean, scale`` with the population deviation; a constant column gets scale 1. One aggregate."""
-    cols = present(df, columns)
+def fit_scaler(df: DataFrame, columns=SCALED, target: str = TARGET) -> ScalerStats:
+    """Mean and population deviation per column in one aggregate; a constant column gets scale 1."""
+    wanted = present(df, dict.fromkeys([*columns, target]))
     row = df.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
-    )
-    return row.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(c).alias("column"), F.col(f"m_{c}").alias("mean"),
-            F.when(F.col(f"s_{c}") == 0, 1.0).otherwise(F.col(f"s_{c}")).alias("scale"),
-        )
-        for c in cols
-    ])))
+        *[F.avg(c).alias(f"m_{c}") for c in wanted], *[F.stddev_pop(c).alias(f"s_{c}") for c in wanted]
+    ).first()
+    return ScalerStats({c: (row[f"m_{c}"], row[f"s_{c}"] if row[f"s_{c}"] != 0 else 1.0) for c in wanted})
 
 
-def fit_scaler(df: DataFrame, columns=SCALED, target: str = TARGET) -> ScalerStats:
-    wanted = list(dict.fromkeys([*columns, target] if target in df.columns else columns))
-    return ScalerStats.from_frame(scaler_table(df, wanted))
+def scaler_table(df: DataFrame, columns=SCALED) -> DataFrame:
+    """The fitted statistics as a table ``column, mean, scale``."""
+    cols = present(df, columns)
+    stats = fit_scaler(df.select(*cols), cols)
+    return stats.to_frame(df.sparkSession)
 
 
 def scale_train(df: DataFrame, stats: ScalerStats, columns=SCALED, target: str = TARGET) -> DataFrame:
@@ -73,11 +69,13 @@ def inverse_scale(df: DataFrame, stats: ScalerStats, column: str, target: str =
 def scaling_summary(scaled: DataFrame, columns=SCALED) -> DataFrame:
     """Mean and sample deviation per scaled column, to four decimals."""
     cols = present(scaled, columns)
-    row = scaled.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"s_{c}") for c in cols])
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.round(f"m_{c}", 4).alias("mean"), F.round(f"s_{c}", 4).alias("std"))
-        for c in cols
-    ])))
+    row = scaled.agg(
+        *[F.round(F.avg(c), 4).alias(f"m_{c}") for c in cols],
+        *[F.round(F.stddev_samp(c), 4).alias(f"s_{c}") for c in cols],
+    ).first()
+    return scaled.sparkSession.createDataFrame(
+        [(c, row[f"m_{c}"], row[f"s_{c}"]) for c in cols], "column string, mean double, std double"
+    )
 
 
 def target_range(scaled: DataFrame, target: str = TARGET, scaled_target: str = TARGET_SCALED) -> DataFrame:

@@ -47,6 +47,10 @@ class Layout:
     def chunked(self) -> bool:
         return bool(self.widths)
 
+    def for_subset(self) -> "Layout | None":
+        """Valid for any subset of the rows while nothing is chunked; else it must be measured anew."""
+        return None if self.chunked else self
+
 
 def _key(df: DataFrame, name: str) -> Column | None:
     """The order column as an integer that sorts the same way, or None if it has no such form."""

@@ -13,6 +13,7 @@ from ..operators.evaluate import directional_accuracy, error_metrics
 from ..operators.grid import median_fill, regular_grid
 from ..operators.linear import LinearModel, align_predictions, fit_ridge, score_windows
 from ..operators.scaling import exog_stats, inverse_scale, standardize_exog
+from ..operators.timeline import plan_layout
 from ..operators.slices import holdout_tail, last_rows, temporal_split
 from ..schema import (
     ARIMA_HOLDOUT_ROWS, ARIMA_TRAIN_ROWS, FEATURES, SEQUENCE_LENGTH, TARGET, VALIDATION_FRACTION, present,
@@ -62,11 +63,14 @@ class Classical:
 def holdout_eval(y: DataFrame, spec: ArxSpec, target: str = TARGET, holdout: int = ARIMA_HOLDOUT_ROWS,
                  fit_rows: int = ARIMA_TRAIN_ROWS, series=(), order=("date",)) -> tuple[DataFrame, DataFrame]:
     """Fit on the rows before the holdout, forecast it, and measure: (validation rows, metrics)."""
-    roles = holdout_tail(y, holdout, fit_rows, series, order)
+    layout = plan_layout(y, series, order)
+    # the fit, the forecast and the metrics all read these rows
+    roles = materialize(holdout_tail(y, holdout, fit_rows, series, order, layout=layout))
+    layout = layout.for_subset()
     fit = roles.filter("role = 'fit'").drop("role")
     val = roles.filter("role = 'val'").drop("role")
-    model = arx_fit(fit, spec, target, series, order)
-    predicted = arx_forecast(fit, val.withColumnRenamed(target, "actual"), model)
+    model = arx_fit(fit, spec, target, series, order, layout=layout)
+    predicted = arx_forecast(fit, val.withColumnRenamed(target, "actual"), model, layout=layout)
     rows = predicted.select(*series, *order, "actual", "predicted")
     metrics = error_metrics(rows, by=tuple(series))
     hits = directional_accuracy(rows, by=tuple(series))
