@@ -42,6 +42,7 @@ class Layout:
     longest: int                       # rows of the longest series
     widths: tuple[int, ...] = ()       # bucket width per used order column
     buckets: int = 0
+    rows: int = 0
 
     @property
     def chunked(self) -> bool:
@@ -90,7 +91,7 @@ def _series_sizes(df: DataFrame, series, key: Column):
     per = (df.groupBy(*series) if series else df).agg(
         F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")
     )
-    return per.agg(F.max("n"), F.min("lo"), F.max("hi")).first()
+    return per.agg(F.max("n"), F.min("lo"), F.max("hi"), F.sum("n")).first()
 
 
 def _bucket_sizes(df: DataFrame, series, order, widths):
@@ -114,10 +115,10 @@ def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | Non
         usable.append(name)
     if not usable:
         raise ValueError(f"first order column {order[0]!r} must be a timestamp, date or integer")
-    longest, lo, hi = _series_sizes(df, series, _key(df, order[0]))
-    longest = longest or 0
+    longest, lo, hi, rows = _series_sizes(df, series, _key(df, order[0]))
+    longest, rows = longest or 0, rows or 0
     if longest <= chunk_rows:
-        return Layout(series, order, chunk_rows, longest)
+        return Layout(series, order, chunk_rows, longest, rows=rows)
     # evenly spread rows would fill a bucket to a sixteenth of a chunk
     widths = [max(1, (hi - lo + 1) * chunk_rows // (BUCKETS_PER_CHUNK * longest))]
     largest, buckets = _bucket_sizes(df, series, order, widths)
@@ -132,7 +133,7 @@ def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | Non
         else:
             break  # rows equal in every order column; the task's sort spills
         largest, buckets = _bucket_sizes(df, series, order, widths)
-    return Layout(series, order, chunk_rows, longest, tuple(widths), buckets)
+    return Layout(series, order, chunk_rows, longest, tuple(widths), buckets, rows)
 
 
 class Timeline:

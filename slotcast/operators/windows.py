@@ -6,20 +6,25 @@ the distance in hours. Run ``regular_grid`` first where the two must agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..schema import LAG_BASE, LAGS, ROLLING, ROLLING_BASE, SEQUENCE_LENGTH, TARGET, present
 from .timeline import FIRST, TOTAL, Layout, Timeline, open_timeline, plan_layout
 
 DEFAULT_LAG_BASE = LAG_BASE + (TARGET,)
 DEFAULT_ROLLING_BASE = ROLLING_BASE + (TARGET,)
+# Windows this wide are computed block by block once rows x columns x width is
+# large enough to pay for the extra sorts.
+WIDE_WINDOW = 24
+BLOCKWISE_FROM = 50_000_000
 
 
 def _lag_exprs(t: Timeline, columns, lags) -> dict[str, Column]:
     return {f"{c}_lag_{k}": F.lag(c, k).over(t.window) for c in columns for k in lags}
 
 
-def _rolling_exprs(t: Timeline, columns, windows) -> dict[str, Column]:
+def _sliding(t: Timeline, columns, windows) -> dict[str, Column]:
+    """Trailing statistics as plain window frames: each row visits its whole window."""
     out = {}
     for c in columns:
         for w in windows:
@@ -30,6 +35,58 @@ def _rolling_exprs(t: Timeline, columns, windows) -> dict[str, Column]:
     return out
 
 
+def _moments(columns, frame, tag: str) -> dict[str, Column]:
+    return {
+        f"__{tag}_{c}": F.struct(
+            F.count(c).over(frame).alias("n"), F.avg(c).over(frame).alias("m"), F.var_pop(c).over(frame).alias("v"),
+        )
+        for c in columns
+    }
+
+
+def _blockwise(t: Timeline, df: DataFrame, columns, w: int) -> DataFrame:
+    """The same statistics at a cost per row that does not grow with the window.
+
+    Rows are cut into blocks of w. A window is the end of one block and the
+    start of the next, and both are running aggregates: forward from the block's
+    first row, backward from its last. The two parts' count, mean and variance
+    combine exactly as those of two samples do.
+    """
+    number = (F.row_number().over(t.window) - 1).cast("int")
+    cut = df.withColumn("__number", number).withColumn("__block", F.floor(F.col("__number") / w))
+    by = [*t.by, "__block"]
+    forward = W.partitionBy(*by).orderBy(*t.layout.order).rowsBetween(W.unboundedPreceding, 0)
+    backward = W.partitionBy(*by).orderBy(*[F.desc(c) for c in t.layout.order]).rowsBetween(W.unboundedPreceding, 0)
+    both = cut.withColumns(_moments(columns, backward, "end")).withColumns(_moments(columns, forward, "start"))
+    # a window that fills its block exactly has no part in the block before
+    spans = F.col("__number") % w != w - 1
+    both = both.withColumns({f"__prior_{c}": F.when(spans, F.lag(f"__end_{c}", w - 1).over(t.window)) for c in columns})
+    out = {}
+    for c in columns:
+        a, b = F.col(f"__start_{c}"), F.col(f"__prior_{c}")
+        na, nb = a["n"].cast("double"), F.coalesce(b["n"], F.lit(0)).cast("double")
+        n = na + nb
+        ma, mb = F.coalesce(a["m"], b["m"]), F.coalesce(b["m"], a["m"])
+        apart = mb - ma
+        out[f"{c}_rmean_{w}"] = ma + apart * F.try_divide(nb, n)
+        squares = (
+            F.coalesce(a["v"], F.lit(0.0)) * na + F.coalesce(b["v"], F.lit(0.0)) * nb
+            + apart * apart * F.try_divide(na * nb, n)
+        )
+        out[f"{c}_rstd_{w}"] = F.when(n > 1, F.sqrt(F.try_divide(squares, n - 1))).otherwise(F.lit(0.0))
+    names = [f"__{tag}_{c}" for tag in ("end", "start", "prior") for c in columns]
+    return both.withColumns(out).drop("__number", "__block", *names)
+
+
+def _rolled(t: Timeline, df: DataFrame, columns, windows, more: dict[str, Column] | None = None) -> DataFrame:
+    """Rolling columns (and ``more`` windowed columns) added to an open timeline's frame."""
+    wide = [w for w in windows if w >= WIDE_WINDOW and t.layout.rows * len(columns) * w >= BLOCKWISE_FROM]
+    for w in wide:
+        df = _blockwise(t, df, columns, w)
+    exprs = {**(more or {}), **_sliding(t, columns, [w for w in windows if w not in wide])}
+    return df.withColumns(exprs) if exprs else df
+
+
 def row_index(df: DataFrame, series=(), order=("date",), name: str = "row_index", layout: Layout | None = None,
               chunk_rows: int | None = None) -> DataFrame:
     """0-based row number per series in date order."""
@@ -71,7 +128,7 @@ def rolling_features(df: DataFrame, columns=DEFAULT_ROLLING_BASE, windows=ROLLIN
     if not cols or not windows:
         return df
     t = open_timeline(df, series, order, halo=max(windows) - 1, layout=layout, chunk_rows=chunk_rows)
-    return t.close(t.df.withColumns(_rolling_exprs(t, cols, windows)))
+    return t.close(_rolled(t, t.df, cols, windows))
 
 
 def _lag_end_unclear(t: Timeline, df: DataFrame, columns, lags) -> bool:
@@ -106,7 +163,7 @@ def lag_and_roll(df: DataFrame, lag_base=DEFAULT_LAG_BASE, lags=LAGS, roll_base=
     halo = max([*lags, *(w - 1 for w in windows)])
     if not layout.chunked:
         t = Timeline(df, layout)
-        raw = t.df.withColumns({**_lag_exprs(t, lag_cols, lags), **_rolling_exprs(t, roll_cols, windows)})
+        raw = _rolled(t, t.df, roll_cols, windows, _lag_exprs(t, lag_cols, lags))
         names = [f"{c}_lag_{k}" for c in lag_cols for k in lags]
         return t.close(raw.withColumns({
             n: F.coalesce(F.last(n, True).over(t.running), F.first(n, True).over(t.whole)) for n in names
@@ -116,9 +173,7 @@ def lag_and_roll(df: DataFrame, lag_base=DEFAULT_LAG_BASE, lags=LAGS, roll_base=
         lagged = lag_features(df, lag_cols, lags, layout=layout)
         filled = fill_lags(lagged, [f"{c}_lag_{k}" for c in lag_cols for k in lags], layout=layout)
         return rolling_features(filled, roll_cols, windows, layout=layout)
-    step = t.df.withColumns({
-        **{f"__g_{c}": t.forward_filled(c) for c in lag_cols}, **_rolling_exprs(t, roll_cols, windows)
-    })
+    step = _rolled(t, t.df, roll_cols, windows, {f"__g_{c}": t.forward_filled(c) for c in lag_cols})
     return t.close(step.withColumns({
         f"{c}_lag_{k}": F.coalesce(F.lag(f"__g_{c}", k).over(t.window), t.first_value(c))
         for c in lag_cols for k in lags

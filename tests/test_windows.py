@@ -8,6 +8,7 @@ from slotcast import (
     difference, fill_lags, first_rows, holdout_tail, lag_and_roll, lag_features, last_rows, plan_layout,
     rolling_features, row_index, sequence_windows, temporal_split, undifference,
 )
+from slotcast.operators import windows as windows_module
 from slotcast.operators.slices import downsample
 from slotcast.operators.timeline import Timeline
 
@@ -139,3 +140,17 @@ def test_slices(train, uneven, train_pd):
     layout = plan_layout(uneven, chunk_rows=128, **KW)
     same(last_rows(uneven, 25, series=("series",), order=("ts", "id"), layout=layout), last_rows(uneven, 25, **KW), ["id"])
     assert last_rows(train, 7).agg(F.min("date")).first()[0] == train_pd["date"].iloc[-7].to_pydatetime()
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 300])
+def test_blockwise_rolling_equals_sliding_frames(uneven, monkeypatch, chunk_rows):
+    df = uneven.withColumn("flat", F.when(F.col("id") < 1500, F.lit(7.3)).otherwise(F.col("value")))
+    cols = ("value", "holes", "late", "flat")
+    layout = plan_layout(df, chunk_rows=chunk_rows, **KW)
+    plain = rolling_features(df, cols, (4, 24, 96), layout=layout)
+    monkeypatch.setattr(windows_module, "BLOCKWISE_FROM", 0)
+    block = rolling_features(df, cols, (4, 24, 96), layout=layout)
+    assert block.columns != [] and "__block" not in block.columns
+    same(block, plain, ["id"])
+    # a window of equal values has exactly no deviation
+    assert block.filter("series = 'long' and id between 100 and 1400 and flat_rstd_96 <> 0").count() == 0
