@@ -53,7 +53,7 @@ class Layout:
         return None if self.chunked else self
 
 
-def _key(df: DataFrame, name: str) -> Column | None:
+def order_key(df: DataFrame, name: str) -> Column | None:
     """The order column as an integer that sorts the same way, or None if it has no such form."""
     dtype = df.schema[name].dataType
     c = F.col(name)
@@ -82,7 +82,7 @@ def _with_buckets(df: DataFrame, order, widths) -> DataFrame:
     # key minus remainder stays in integers; a division through double would lose microseconds
     return df.withColumns({
         b: k - F.pmod(k, F.lit(w))
-        for b, k, w in zip(_bucket_names(widths), (_key(df, o) for o in order), widths)
+        for b, k, w in zip(_bucket_names(widths), (order_key(df, o) for o in order), widths)
     })
 
 
@@ -110,12 +110,12 @@ def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | Non
     chunk_rows = CHUNK_ROWS if chunk_rows is None else chunk_rows
     usable = []
     for name in order:
-        if _key(df, name) is None:
+        if order_key(df, name) is None:
             break
         usable.append(name)
     if not usable:
         raise ValueError(f"first order column {order[0]!r} must be a timestamp, date or integer")
-    longest, lo, hi, rows = _series_sizes(df, series, _key(df, order[0]))
+    longest, lo, hi, rows = _series_sizes(df, series, order_key(df, order[0]))
     longest, rows = longest or 0, rows or 0
     if longest <= chunk_rows:
         return Layout(series, order, chunk_rows, longest, rows=rows)
@@ -127,7 +127,7 @@ def plan_layout(df: DataFrame, series=(), order=("date",), chunk_rows: int | Non
             widths[-1] = max(1, widths[-1] >> max(1, math.ceil(math.log2(largest / chunk_rows))))
         elif len(widths) < len(usable):
             # one exact key value is itself too large: split it along the next order column
-            key = _key(df, usable[len(widths)])
+            key = order_key(df, usable[len(widths)])
             lo, hi = df.agg(F.min(key), F.max(key)).first()
             widths.append(max(1, (hi - lo + 1) // (BUCKETS_PER_CHUNK * math.ceil(largest / chunk_rows))))
         else:

@@ -8,7 +8,7 @@ from slotcast import (
     difference, fill_lags, first_rows, holdout_tail, lag_and_roll, lag_features, last_rows, plan_layout,
     rolling_features, row_index, sequence_windows, temporal_split, undifference,
 )
-from slotcast.operators import windows as windows_module
+from slotcast.operators import slices as slices_module, windows as windows_module
 from slotcast.operators.slices import downsample
 from slotcast.operators.timeline import Timeline
 
@@ -152,5 +152,14 @@ def test_blockwise_rolling_equals_sliding_frames(uneven, monkeypatch, chunk_rows
     block = rolling_features(df, cols, (4, 24, 96), layout=layout)
     assert block.columns != [] and "__block" not in block.columns
     same(block, plain, ["id"])
-    # a window of equal values has exactly no deviation
-    assert block.filter("series = 'long' and id between 100 and 1400 and flat_rstd_96 <> 0").count() == 0
+    # a window of equal values has no deviation beyond the last bits
+    assert block.filter("series = 'long' and id between 100 and 1400 and flat_rstd_96 > 1e-12").count() == 0
+
+
+@pytest.mark.parametrize("order", [("ts", "id"), ("id",)])
+def test_edge_rows_are_found_without_sorting_everything(uneven, order, monkeypatch):
+    monkeypatch.setattr(slices_module, "SORTABLE", 10)
+    ids = uneven.orderBy(*order).toPandas()["id"]
+    for n in (1, 40, 2500, 5000):
+        assert set(first_rows(uneven, n, order=order).toPandas()["id"]) == set(ids[:n])
+        assert set(last_rows(uneven, n, order=order).toPandas()["id"]) == set(ids[-n:])
