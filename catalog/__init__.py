@@ -8,11 +8,15 @@ depend on those bits.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # predictors defined here run in tasks
+
 NUDGE = 1e-9
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

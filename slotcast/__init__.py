@@ -1,5 +1,12 @@
 """Time-series features, regimes, folds, forecasts and probabilities as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 from .functions.calendar import (
     arimax_exog, fourier_arimax, fourier_sarima, sarima_exog, temporal_cyclical, temporal_features, temporal_parts,
 )

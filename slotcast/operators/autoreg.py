@@ -326,87 +326,64 @@ def mackinnon_p(stat: float) -> float:
     return 0.5 * (1 + math.erf(z / math.sqrt(2)))
 
 
+def _unit_root(y: np.ndarray) -> tuple[float, int, int]:
+    """Statistic, lag count and sample size of the constant-only test on one short array.
+
+    Every lag order is compared on the common sample through one matrix of cross
+    products; the statistic comes from the chosen order's own, longer sample.
+    """
+    step, n = np.diff(y), len(y)
+    deepest = max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
+
+    def products(lags: int) -> np.ndarray:
+        at = np.arange(lags, len(step))
+        x = np.column_stack([np.ones(len(at)), y[at], *[step[at - k] for k in range(1, lags + 1)], step[at]])
+        return x.T @ x
+
+    def sub(m: np.ndarray, lags: int) -> np.ndarray:
+        at = [*range(2 + lags), len(m) - 1]
+        return m[np.ix_(at, at)]
+
+    common = products(deepest)
+    size = common[0, 0]
+
+    def aic(lags: int) -> float:
+        ssr = max(_solve(sub(common, lags))[1], 1e-300)
+        return size * (math.log(2 * math.pi * ssr / size) + 1) + 2 * (2 + lags)
+
+    chosen = min(range(deepest + 1), key=aic)
+    own = products(chosen)
+    k = 2 + chosen
+    beta, ssr = _solve(own)
+    variance = ssr / (own[0, 0] - k) * np.linalg.pinv(own[:k, :k])[1, 1]
+    return (float(beta[1] / math.sqrt(variance)) if variance > 0 else float("nan")), chosen, int(own[0, 0])
+
+
 def adf_test(df: DataFrame, column: str = TARGET, max_rows: int = ADF_ROWS, series=(), order=("date",)) -> DataFrame:
     """Unit-root test with a constant on each series' first rows; the lag count minimises AIC.
 
-    All lag orders are compared on one common sample from one set of cross
-    products; the statistic is then taken from the chosen order's own sample.
-    ``d`` is the differencing the test asks for.
+    A group is at most ``max_rows`` rows of one column, whatever the series'
+    length, so it is tested as one array. ``d`` is the differencing the test asks for.
     """
     head = first_rows(
         df.filter(F.col(column).isNotNull()).select(*series, *order, F.col(column).cast("double").alias("y")),
         max_rows, series=series, order=order,
     )
-    # at most max_rows rows per series from here on
-    layout = Layout(tuple(series), tuple(order), max_rows, max_rows)
-    t = Timeline(head, layout)
     keys = list(series) or ["__all"]
-    n_max = max_rows if series else head.count()
-
-    def depth(n):
-        return max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
-
-    deepest = depth(n_max)
-    based = t.df.withColumns({
-        "__all": F.lit(0), "at": t.position(), "rows": t.total(), "level": F.lag("y", 1).over(t.window),
-    }).withColumn("step", F.col("y") - F.col("level"))
-    based = based.withColumns({f"s{k}": F.lag("step", k).over(t.window) for k in range(1, deepest + 1)})
-    rows = F.col("rows").cast("double")
-    allowed = F.greatest(F.lit(0), F.least(F.ceil(12.0 * F.pow(rows / 100.0, F.lit(0.25))), F.floor(rows / 2) - 2)).cast("int")
-    based = based.withColumn("allowed", allowed)
-    columns = ["one", "level", *[f"s{k}" for k in range(1, deepest + 1)], "step"]
-    kinds = {f.name: f.dataType.simpleString() for f in based.schema}
-    k_all = len(columns)
-
-    def matrix(pdf):
-        m = np.zeros((k_all, k_all))
-        i, j, g = pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["g"].to_numpy()
-        m[i, j] = m[j, i] = g
-        return m
-
-    def sums(limit):
-        # a lag beyond the limit is 0 here, so it never decides whether a row is complete
-        used = [F.when(F.lit(k) <= limit, F.col(f"s{k}")).otherwise(F.lit(0.0)).alias(f"s{k}") for k in range(1, deepest + 1)]
-        return gram(
-            based.filter(F.col("at") > limit).select(*keys, "allowed", F.lit(1.0).alias("one"), "level", *used, "step",
-                                                     *([F.col("chosen")] if "chosen" in based.columns else [])),
-            columns, [*keys, "allowed", *(["chosen"] if "chosen" in based.columns else [])],
-        )
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, limit = matrix(pdf), int(pdf["allowed"].iloc[0])
-        n, best, chosen = m[0, 0], None, 0
-        for lags in range(limit + 1):
-            at = [*range(2 + lags), k_all - 1]
-            _, ssr = _solve(m[np.ix_(at, at)])
-            aic = n * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / n) + 1) + 2 * (2 + lags)
-            if best is None or aic < best:
-                best, chosen = aic, lags
-        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "chosen": [chosen], "aic": [best]})
-
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
-    picks = sums(F.col("allowed")).groupBy(*keys).applyInPandas(choose, f"{schema}, chosen int, aic double").persist()
-    n_series = picks.count()
-    if series:
-        based = _attach(based, picks, keys, ["chosen"], n_series)
-    else:
-        based = based.withColumn("chosen", F.lit(picks.first()["chosen"]))
+    if not series:
+        head = head.withColumn("__all", F.lit(0))
+    kinds = {f.name: f.dataType.simpleString() for f in head.schema}
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, lags = matrix(pdf), int(pdf["chosen"].iloc[0])
-        at = [*range(2 + lags), k_all - 1]
-        sub = m[np.ix_(at, at)]
-        beta, ssr = _solve(sub)
-        n, k = sub[0, 0], 2 + lags
-        var = ssr / (n - k) * np.linalg.pinv(sub[:k, :k])[1, 1]
-        stat = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
+        y = pdf.sort_values(list(order), kind="stable")["y"].to_numpy()
+        stat, lags, used = _unit_root(y) if len(y) >= 8 else (float("nan"), 0, 0)
         p = mackinnon_p(stat)
         return pd.DataFrame({
             **{c: [pdf[c].iloc[0]] for c in keys}, "statistic": [stat], "p_value": [p], "used_lag": [lags],
-            "nobs": [int(round(n))], "d": [0 if p < 0.05 else 1],
+            "nobs": [used], "d": [0 if p < 0.05 else 1],
         })
 
-    result = sums(F.col("chosen")).groupBy(*keys).applyInPandas(
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
+    return head.groupBy(*keys).applyInPandas(
         test, f"{schema}, statistic double, p_value double, used_lag int, nobs bigint, d int"
-    )
-    return result.drop("__all")
+    ).drop("__all")

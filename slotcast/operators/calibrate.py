@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.domain import is_positive
@@ -47,6 +48,14 @@ def calibrate_fit(df: DataFrame, predicted: str = "predicted", actual: str = "ac
     data = df.filter(F.col(predicted).isNotNull() & F.col(actual).isNotNull()).select(
         F.col(predicted).cast("double").alias("x"), is_positive(F.col(actual)).cast("double").alias("y"), hit.alias("hit")
     )
+    data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _newton(data, c, max_iter)
+    finally:
+        data.unpersist()
+
+
+def _newton(data: DataFrame, c: float, max_iter: int) -> Calibrator:
     n, positives, spread, accuracy = data.agg(F.count("x"), F.sum("y"), F.stddev_pop("x"), F.avg("hit")).first()
     if not n or positives in (0, n):
         raise ValueError("calibration needs outcomes on both sides of zero")

@@ -71,7 +71,8 @@ def holdout_eval(y: DataFrame, spec: ArxSpec, target: str = TARGET, holdout: int
     val = roles.filter("role = 'val'").drop("role")
     model = arx_fit(fit, spec, target, series, order, layout=layout)
     predicted = arx_forecast(fit, val.withColumnRenamed(target, "actual"), model, layout=layout)
-    rows = predicted.select(*series, *order, "actual", "predicted")
+    # read by the metrics and, pass after pass, by the calibration
+    rows = materialize(predicted.select(*series, *order, "actual", "predicted"))
     metrics = error_metrics(rows, by=tuple(series))
     hits = directional_accuracy(rows, by=tuple(series))
     if series:
@@ -95,8 +96,9 @@ def classical_forecast(train: DataFrame, test: DataFrame, family: str = "arima",
     holdout evaluation and calibration, final fit on the last year, forecast of
     every test slot.
     """
-    y = median_fill(regular_grid(train), TARGET)
-    ahead = regular_grid(test)
+    # every later step starts from these two tables
+    y, ahead = materialize(regular_grid(train)), materialize(regular_grid(test))
+    y = median_fill(y, TARGET)
     d = adf_test(y).first()["d"]
     spec = {"arima": ARIMA, "arimax": ARIMAX, "sarima": SARIMA}[family]
     if family != "arima":
@@ -106,8 +108,9 @@ def classical_forecast(train: DataFrame, test: DataFrame, family: str = "arima",
         guard = family == "arimax"
         y, ahead = (standardize_exog(f, stats, spec.exog, guard) for f in (y, ahead))
     spec = ArxSpec(**{**spec.__dict__, "d": d, "intercept": family == "arima" and d == 0})
-    # the holdout, both fits and their forecasts all read this table
-    y, ahead = materialize(y.select("date", TARGET, *spec.exog)), materialize(ahead)
+    y = y.select("date", TARGET, *spec.exog)
+    if spec.exog:
+        y = materialize(y)  # regressors are read by the holdout and by both fits
     validation, metrics = holdout_eval(y, spec, holdout=holdout, fit_rows=fit_rows)
     calibrator = calibrate_fit(validation, c=SCRIPT_C)
     last_year = last_rows(y, fit_rows)
