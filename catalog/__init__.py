@@ -56,4 +56,4 @@ def register(name: str, sql: str | None = None, digits: int = 4):
 
 
 def load_all() -> None:
-    from . import features, forecasts, models, samples, statistics, windows  # noqa: F401
+    from . import features, forecasts, models, samples, sinks, statistics, windows  # noqa: F401

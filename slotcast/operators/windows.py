@@ -57,7 +57,8 @@ def _blockwise(t: Timeline, df: DataFrame, columns, w: int) -> DataFrame:
     by = [*t.by, "__block"]
     forward = W.partitionBy(*by).orderBy(*t.layout.order).rowsBetween(W.unboundedPreceding, 0)
     backward = W.partitionBy(*by).orderBy(*[F.desc(c) for c in t.layout.order]).rowsBetween(W.unboundedPreceding, 0)
-    both = cut.withColumns(_moments(columns, backward, "end")).withColumns(_moments(columns, forward, "start"))
+    # backward last: the lag below needs it, so the planner cannot slip that lag's sort in between
+    both = cut.withColumns(_moments(columns, forward, "start")).withColumns(_moments(columns, backward, "end"))
     # a window that fills its block exactly has no part in the block before
     spans = F.col("__number") % w != w - 1
     both = both.withColumns({f"__prior_{c}": F.when(spans, F.lag(f"__end_{c}", w - 1).over(t.window)) for c in columns})

@@ -19,19 +19,23 @@ def slot_start(ts):
     )
 
 
-def market(spark: SparkSession, folder: str) -> DataFrame:
+def market(spark: SparkSession, folder: str, keep=None) -> DataFrame:
     """One row per 15-minute slot that has events: wind, solar, load, spread, imbalances.
 
     Sums per slot are combined on the map side, so the shuffle carries slots,
-    not events.
+    not events. ``keep`` filters events before that; on a slot boundary it
+    selects whole slots and, unlike a filter on slots, reaches the scan.
     """
     kind, value = F.col("event_type"), F.col("value")
 
     def total(name):
         return F.coalesce(F.sum(F.when(kind == name, value)), F.lit(0.0))
 
+    events = table(spark, folder, "events")
+    if keep is not None:
+        events = events.filter(keep)
     return (
-        table(spark, folder, "events").groupBy(slot_start(F.col("ts")).alias("date"))
+        events.groupBy(slot_start(F.col("ts")).alias("date"))
         .agg(
             total("view").alias("wind"), total("click").alias("solar"), F.sum(value).alias("load"),
             (total("purchase") - total("signup")).alias("spread"), total("error").alias("imbalances"),
@@ -40,7 +44,7 @@ def market(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def market_train(spark: SparkSession, folder: str) -> DataFrame:
-    slots = market(spark, folder).filter(F.col("date") < F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    slots = market(spark, folder, F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz"))
     return slots.select("date", "wind", "solar", "load", "spread")
 
 
@@ -55,7 +59,7 @@ def market_test(spark: SparkSession, folder: str) -> DataFrame:
     """Later slots with a dense ``ID`` in date order and no target."""
     from ..operators.windows import row_index
 
-    slots = market(spark, folder).filter(F.col("date") >= F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    slots = market(spark, folder, F.col("ts") >= F.lit(SPLIT_AT).cast("timestamp_ntz"))
     return row_index(slots.select("date", "wind", "solar", "load"), name="ID").select(
         "ID", "date", "wind", "solar", "load"
     )
