@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import minhash
+from slotcast.llm import language, minhash, pieces
 from slotcast.llm.common import prepared, read, stored
+from slotcast.llm.queries import tokenizer
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents in a language that the classifier tells with enough probability; it learns from ``lang``."""
+    kept = language.predict(docs, language.fit(docs)).where(~F.col("rejected")).select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the least id."""
     kept = minhash.near_duplicates(docs, n=5, percent=80).where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
-STAGES = [("near_copies", near_copies)]
+def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Token ids of each text, with begin and end, and the text they decode to."""
+    encoded = pieces.encode(docs, tokenizer("piece_bpe_32k.model"))
+    return encoded.select("doc_id", F.expr("length(ids) div 4").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("language", known_language), ("near_copies", near_copies), ("tokens", tokens),
+]
 
 # Language scores, register sketches and tokens have no SQL form; tests hold the stages to brute force.
 ORACLE_SQL = None

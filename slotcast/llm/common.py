@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -28,6 +30,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def per_worker(key, make):
+    """What ``make`` returns, made once in each Python worker and kept there for its later tasks."""
+    kept = sys.modules.setdefault("_slotcast_worker", types.ModuleType("_slotcast_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes a table to the folder that all executors share and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -2,13 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
 
-from . import minhash
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from . import language, minhash, pieces
 from .common import read
 from .register import ORACLES, QUERIES, register  # noqa: F401
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; SLOTCAST_TOKENIZERS names another folder."""
+    folder = os.environ.get("SLOTCAST_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def training_rows(docs: DataFrame, parts: int, held: int) -> DataFrame:
+    """Rows that may train: crc32 of the id as text, modulo ``parts``, is not ``held``."""
+    return docs.where(F.crc32(F.col("doc_id").cast("string")) % parts != held)
+
+
+@register("op1_pieces")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode(read(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id", F.expr("length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @register("op5_minhash")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), n=4, percent=80)
+
+
+@register("op6_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(training_rows(docs, 4, 2))
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return language.predict(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
