@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import language, minhash, pieces
+from slotcast.llm import language, minhash, pieces, templates
 from slotcast.llm.common import prepared, read, stored
 from slotcast.llm.queries import tokenizer
 
@@ -23,6 +23,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
+def unleaked(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    bad = templates.contaminated(docs, read(spark, folder, "benchmark")).where("contaminated").select("doc_id")
+    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each text, with begin and end, and the text they decode to."""
     encoded = pieces.encode(docs, tokenizer("piece_bpe_32k.model"))
@@ -30,7 +36,7 @@ def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES = [
-    ("language", known_language), ("near_copies", near_copies), ("tokens", tokens),
+    ("language", known_language), ("near_copies", near_copies), ("unleaked", unleaked), ("tokens", tokens),
 ]
 
 # Language scores, register sketches and tokens have no SQL form; tests hold the stages to brute force.

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, minhash, pieces
+from . import language, minhash, pieces, templates
 from .common import read
 from .register import ORACLES, QUERIES, register  # noqa: F401
 
@@ -46,3 +46,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(training_rows(docs, 4, 2))
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     return language.predict(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_templates")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))

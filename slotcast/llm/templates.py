@@ -51,7 +51,8 @@ def _words(rows: DataFrame, key: str) -> DataFrame:
 def windows(rows: DataFrame, key: str, size: int) -> DataFrame:
     """Rows (key, pos, h): the windows of every text. Only the key is carried along when they are spread out."""
     hashes = F.when(F.size("words") >= size, F.transform(F.sequence(F.lit(1), F.size("words") - (size - 1)), lambda i: F.xxhash64(F.slice("words", i, size))))
-    return _words(rows, key).select(key, hashes.alias("hashes")).select(key, F.posexplode("hashes").alias("pos", "h"))
+    # The outer form: for the plain one a filter on the array's size is put before the scan, which would compute it twice.
+    return _words(rows, key).select(key, hashes.alias("hashes")).select(key, F.posexplode_outer("hashes").alias("pos", "h")).where("h is not null")
 
 
 def _slots(size: int) -> Column:
