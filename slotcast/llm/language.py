@@ -71,17 +71,13 @@ def subwords(codes: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _rows(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Subword buckets of all texts in one array, and how many each text has.
-
-    A text's own pieces are bounded; texts are joined with blanks, so one call serves many short ones.
-    """
-    buckets, counts = [], []
-    for text in texts:
-        own = [subwords(p) for p in _pieces(_codes(text), letters)]
-        buckets += own
-        counts.append(sum(len(o) for o in own))
-    return (np.concatenate(buckets) if buckets else np.zeros(0, np.int64)), np.array(counts, np.int64)
+def bag(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct subword buckets of a text and how often each occurs."""
+    counts = np.zeros(1 << BITS, np.int64)
+    for piece in _pieces(_codes(text), letters):
+        counts += np.bincount(subwords(piece), minlength=1 << BITS)
+    ids = np.flatnonzero(counts)
+    return ids, counts[ids]
 
 
 class Model:
@@ -113,17 +109,12 @@ class Model:
         return names, probabilities
 
 
-def train(texts: list[str], labels: list[str], rounds: int = 12, rate: float = 0.5) -> Model:
-    """Fits a model; every fifth text calibrates it."""
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], rounds: int = 12, rate: float = 0.5) -> Model:
+    """Fits a model on (buckets, counts) of each text; every fifth text calibrates it."""
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.0)
-    letters = _letters()
-    bags = []
-    for t in texts:
-        buckets, _ = _rows([t], letters)
-        ids, counts = np.unique(buckets, return_counts=True)
-        bags.append((ids, counts / max(counts.sum(), 1)))
+    bags = [(ids, counts / max(counts.sum(), 1)) for ids, counts in bags]
     target = np.array([languages.index(x) for x in labels])
     usable = np.array([len(b[0]) > 0 for b in bags], bool)
     held = np.arange(len(bags)) % 5 == 4
@@ -172,16 +163,25 @@ def fit(docs: DataFrame, key: str = "doc_id", per_language: int = 500, languages
     place = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(SEED)), F.lit(1 << 40))
     # The rate leaves a little over the bound; the rest is cut off below by the same hash.
     rate = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(int(min(1.0, (per_language * 1.2 + 20) / n) * (1 << 40))))])
-    chosen = rows.withColumn("place", place).where(F.col("place") < rate[F.col("lang")]).select("lang", "place", key, "text").collect()
-    chosen.sort(key=lambda r: (r["place"], str(r[key])))
+    chosen = rows.withColumn("place", place).where(F.col("place") < rate[F.col("lang")]).select("lang", "place", F.col(key).cast("string").alias("id"), "text")
+
+    def bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = per_worker("letters", _letters)
+        for batch in batches:
+            bags = [bag(t, letters) for t in batch.column(3).to_pylist()]
+            lists = [pa.array([b[k] for b in bags], pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["lang", "place", "id", "ids", "counts"])
+
+    found = chosen.mapInArrow(bagged, "lang string, place long, id string, ids array<long>, counts array<long>").collect()
+    found.sort(key=lambda r: (r["place"], r["id"]))
     seen: dict[str, int] = {}
-    texts, labels = [], []
-    for r in chosen:
+    bags, labels = [], []
+    for r in found:
         if seen.setdefault(r["lang"], 0) < per_language:
             seen[r["lang"]] += 1
-            texts.append(r["text"])
+            bags.append((np.array(r["ids"], np.int64), np.array(r["counts"], np.int64)))
             labels.append(r["lang"])
-    return train(texts, labels)
+    return train(bags, labels)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:

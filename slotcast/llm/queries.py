@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, minhash, pieces, templates
+from . import language, minhash, pieces, secrets, templates, toxicity, urls
 from .common import read
 from .register import ORACLES, QUERIES, register  # noqa: F401
 
@@ -35,6 +35,18 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register("op4_secrets")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    found = secrets.secrets(read(spark, folder, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.listed(of("assign", "access", "hex")).cast("binary"), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @register("op5_minhash")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), n=4, percent=80)
@@ -48,6 +60,34 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@register("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, training_rows(read(spark, folder, "labels"), 3, 1))
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return toxicity.scores(docs, machine).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+URL_SQL = """
+WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r(verdict, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+m AS (SELECT page_id, max(length(h || p)) AS n FROM q JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT q.page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdict
+FROM q LEFT JOIN (SELECT m.page_id, r.* FROM m JOIN q USING (page_id) JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) AND length(h || p) = n) w
+  ON q.page_id = w.page_id
+"""
+
+
+@register("op8_urls", URL_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(read(spark, folder, "pages"), RULES)
+
+
 @register("op9_templates")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return templates.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
