@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import language, minhash, pieces, templates
+from slotcast.llm import language, minhash, pieces, secrets, templates
 from slotcast.llm.common import prepared, read, stored
 from slotcast.llm.queries import tokenizer
 
@@ -29,6 +29,14 @@ def unleaked(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, with secrets in their texts blotted out."""
+    import public_tokenizers
+
+    clean = secrets.secrets(docs, tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, redacted=True, carried=("lang", "source"))
+    return clean.select("doc_id", F.col("redacted").alias("text"), "lang", "source", F.length("redacted").cast("long").alias("n_chars"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each text, with begin and end, and the text they decode to."""
     encoded = pieces.encode(docs, tokenizer("piece_bpe_32k.model"))
@@ -36,7 +44,8 @@ def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES = [
-    ("language", known_language), ("near_copies", near_copies), ("unleaked", unleaked), ("tokens", tokens),
+    ("language", known_language), ("near_copies", near_copies), ("unleaked", unleaked),
+    ("without_secrets", without_secrets), ("tokens", tokens),
 ]
 
 # Language scores, register sketches and tokens have no SQL form; tests hold the stages to brute force.

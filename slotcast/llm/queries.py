@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, minhash, pieces, secrets, templates, toxicity, urls
+from . import language, minhash, pages, pieces, secrets, substrings, templates, toxicity, urls
 from .common import read
 from .register import ORACLES, QUERIES, register  # noqa: F401
 
@@ -35,6 +35,17 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register("op2_substrings")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.deduplicated(read(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op3_pages")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(read(spark, folder, "pages"))
+
+
 @register("op4_secrets")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers

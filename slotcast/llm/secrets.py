@@ -73,8 +73,11 @@ def _encoder(vocabulary: bytes, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-def secrets(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", redacted: bool = False) -> DataFrame:
-    """Rows (key, spans): an array of struct(kind, start, end); with ``redacted`` also the text with spans blotted out."""
+def secrets(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", redacted: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (key, spans): an array of struct(kind, start, end); with ``redacted`` also the text with spans blotted out.
+
+    ``carried`` columns come along unchanged.
+    """
     with open(vocabulary, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())  # one vocabulary file, well under 10 MB
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -87,10 +90,11 @@ def secrets(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
             columns = [batch.column(0), pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f] for f in found], spans)]
             if redacted:
                 columns.append(pa.array([blotted(t, f) if f else t for t, f in zip(texts, found)], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "spans", "redacted"][: len(columns)])
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=[key, "spans", *["redacted"] * redacted, *carried])
 
-    rows = docs.select(key, "text")
-    return rows.mapInArrow(make, f"{key} {rows.schema[key].dataType.simpleString()}, spans array<struct<kind: string, start: int, end: int>>" + ", redacted string" * redacted)
+    rows = docs.select(key, "text", *carried)
+    kept = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carried)
+    return rows.mapInArrow(make, f"{key} {rows.schema[key].dataType.simpleString()}, spans array<struct<kind: string, start: int, end: int>>" + ", redacted string" * redacted + kept)
 
 
 def blotted(text: str, spans: list[tuple[str, int, int]], mark: str = "[secret]") -> str:
