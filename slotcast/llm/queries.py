@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, minhash, pages, pieces, secrets, substrings, templates, toxicity, urls
+from . import language, minhash, neighbours, pages, pieces, secrets, substrings, templates, toxicity, urls
 from .common import read
 from .register import ORACLES, QUERIES, register  # noqa: F401
 
@@ -102,3 +102,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @register("op9_templates")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return templates.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@register("op10_neighbours")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    table = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(table, table.where("vec_id % 50 = 0").select(F.col("vec_id").alias("id")), k=5)
