@@ -79,6 +79,8 @@ def leaf_pairs(nodes: DataFrame, count: int, links: int, trees: int, leaf: int)
     """Near pairs (id, other, s) inside the leaves of the trees. ``nodes``: (id, short)."""
     sample = nodes.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(SAMPLE).select("short").collect()
     points = np.array([np.frombuffer(r["short"], np.float16) for r in sample], np.float32)
+    if not len(points):
+        return nodes.select("id", F.col("id").alias("other"), F.lit(0.0).cast("float").alias("s"))  # no rows
     bits = max(0, int(np.ceil(np.log2(max(count, 1) / leaf))))
     planes = np.random.default_rng(SEED).normal(size=(points.shape[1], trees * bits)).astype(np.float32)
     middles = np.median(points @ planes, axis=0) if bits else np.zeros(0)

@@ -3,7 +3,7 @@
 Pages are range-partitioned and sorted by host and path, so that a page's neighbours are the pages of its host with the
 nearest paths; a host with many pages spreads over many ranges. A page's text lines (its blocks) are aligned with those
 of each neighbour by their longest common subsequence. Lines that a page shares with a neighbour are furniture of the
-site and deleted, unless the neighbour is a copy of the page (more than half of its lines shared) or the line stands in
+site and deleted, unless the neighbour is a copy of the page (more than half of its lines outside marked furniture shared) or the line stands in
 the article itself (``article`` or ``main`` element) and is not made of links. Furniture that differs from page to page
 is told by its markup: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
 by element or by words in class and id. If a page has an article element, only blocks inside it are kept.
@@ -148,7 +148,8 @@ def main_text(lines: list[Line], has_article: bool, neighbours: list[list[Line]]
     drop = [False] * len(lines)
     for other in neighbours:
         shared = common_lines(own, [x.text for x in other])
-        if 2 * sum(shared) > len(lines):
+        told = [s for s, x in zip(shared, lines) if not x.furniture]
+        if 2 * sum(told) > len(told):
             continue  # a copy says nothing about furniture
         for i, s in enumerate(shared):
             if s and (not lines[i].article or lines[i].linked):
