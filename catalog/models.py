@@ -136,7 +136,7 @@ walk AS (
     CASE WHEN h.val_loss < w.best - 1e-4 THEN h.epoch ELSE w.best_epoch END,
     CASE WHEN h.val_loss < w.best - 1e-4 THEN h.val_loss - h.train_loss ELSE w.gap END,
     CASE WHEN h.val_loss < w.best - 1e-4 THEN 0 ELSE w.waited + 1 END
-  FROM walk w JOIN h ON h.run_id = w.run_id AND h.epoch = w.last + 1 WHERE w.waited < 10 AND h.epoch <= 100),
+  FROM walk w JOIN h ON h.run_id = w.run_id AND h.epoch = w.last + 1 WHERE w.waited < 10),
 ends AS (SELECT run_id, max(last) AS last FROM walk GROUP BY 1)
 SELECT w.run_id, w.best_epoch::INTEGER AS best_epoch, {q('w.best', 'best_val_loss', 6)}, {q('w.gap', 'gap_at_best', 6)},
   w.last::INTEGER AS epochs_run, w.waited >= 10 AS stopped_early

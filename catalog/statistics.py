@@ -91,12 +91,12 @@ def _acf_sql(nlags, keys=""):
         for k in range(nlags + 1))
 
 
-@register("acf", f"""WITH {TRAIN}, w AS (SELECT * FROM train ORDER BY date DESC LIMIT 1000),
+@register("acf", f"""WITH {TRAIN}, w AS (SELECT * FROM train),
 d AS (SELECT date, spread - (SELECT avg(spread) FROM w) AS c FROM w),
 l AS (SELECT c, {', '.join(f'lag(c, {k}) OVER (ORDER BY date) AS c{k}' for k in range(1, 11))} FROM d)
 {_acf_sql(10)}""", digits=6)
 def _(spark, sf):
-    return acf(market_train(spark, sf), last_rows=1000)
+    return acf(market_train(spark, sf))
 
 
 @register("acf_series", f"""WITH {EVENTS}, d AS (SELECT series, ts, event_id,

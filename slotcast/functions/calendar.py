@@ -11,6 +11,11 @@ from ..schema import DAILY_HARMONICS, DATE, SLOTS_PER_DAY, SLOTS_PER_WEEK, WEEKL
 TAU = 2 * math.pi
 
 
+def naive(value):
+    """A naive datetime as a literal; passed as text, since a datetime literal is read in the Python process's zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def slot_of_day(ts: Column) -> Column:
     """15-minute slot within the day, 0..95."""
     return F.hour(ts) * 4 + F.floor(F.minute(ts) / 15).cast("int")

@@ -11,13 +11,14 @@ stand in for the unobserved shocks.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..schema import ADF_ROWS, TARGET
+from ..schema import TARGET
+from ..session import materialize
 from .gram import gram
 from .slices import first_rows
 from .timeline import HOME, Layout, Timeline, plan_layout
@@ -99,6 +100,8 @@ class ArxModel:
 
 def _solve(m: np.ndarray) -> tuple[np.ndarray, float]:
     """Least squares from cross products with the target last; dependent columns share their effect."""
+    if len(m) == 1:
+        return np.zeros(0), float(m[0, 0])
     a, b = m[:-1, :-1], m[:-1, -1]
     scale = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
     beta = np.linalg.lstsq(a / np.outer(scale, scale), b / scale, rcond=1e-11)[0] / scale
@@ -106,11 +109,34 @@ def _solve(m: np.ndarray) -> tuple[np.ndarray, float]:
     return beta, float(max(v @ m @ v, 0.0))
 
 
-def _fit_table(design: DataFrame, columns, series, name: str) -> DataFrame:
-    """Solves one small system per series: ``series..., name, nobs, sigma2``."""
+def _mean_of(column: str, spec: ArxSpec) -> str | None:
+    """Name of the column that holds a design column's shift, if it has one."""
+    if column == "__y" or column.startswith("__z"):
+        return "__mean_y"
+    return f"__mean_{spec.exog[int(column[3:])]}" if column.startswith("__x") else None
+
+
+def _means(data: DataFrame, spec: ArxSpec, target: str, series) -> tuple[DataFrame, list[str]]:
+    """Shifts per series: means of the target and of the regressors, unless they are differenced.
+
+    Sums of products of columns far from zero can't tell a column from the constant. Without a constant there is
+    nothing to take a shift up, so it is zero.
+    """
+    level = spec.intercept and len(spec.difference_weights) == 1
+    shifts = [(F.avg(F.col(target).cast("double")) if level else F.lit(0.0)).alias("__mean_y")]
+    shifts += [(F.avg(F.col(c).cast("double")) if level else F.lit(0.0)).alias(f"__mean_{c}") for c in spec.exog]
+    names = ["__mean_y", *(f"__mean_{c}" for c in spec.exog)]
+    table = data.groupBy(*series).agg(F.count(F.lit(1)).alias("__rows"), *shifts).select(*series, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in names])
+    return table, names
+
+
+def _fit_table(design: DataFrame, columns, series, name: str, spec: ArxSpec, means: DataFrame, count: int) -> DataFrame:
+    """Solves one small system per series on shifted columns: ``series..., name, nobs, sigma2``."""
     k = len(columns) + 1
     keys = list(series) or ["__all"]
     data = design if series else design.withColumn("__all", F.lit(0))
+    shift = {c: _mean_of(c, spec) for c in [*columns, "__y"]}
+    data = data.withColumns({c: F.col(c) - F.col(m) for c, m in shift.items() if m})
     sums = gram(data.withColumn("__one", F.lit(1.0)), [*columns, "__y", "__one"], keys)
     kinds = {f.name: f.dataType.simpleString() for f in sums.schema}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keys] + [f"{name} array<double>", "nobs bigint", "sigma2 double"])
@@ -125,7 +151,16 @@ def _fit_table(design: DataFrame, columns, series, name: str) -> DataFrame:
         row = {c: [pdf[c].iloc[0]] for c in keys}
         return pd.DataFrame({**row, name: [beta.tolist()], "nobs": [int(round(n))], "sigma2": [ssr / n if n else None]})
 
-    return sums.groupBy(*keys).applyInPandas(solve, schema)
+    solved = sums.groupBy(*keys).applyInPandas(solve, schema)
+    if not spec.intercept:
+        return solved
+    names = ["__mean_y", *(f"__mean_{c}" for c in spec.exog)]
+    back = F.element_at(name, 1) + F.col("__mean_y")
+    for i, c in enumerate(columns, start=1):
+        if shift[c]:
+            back = back - F.element_at(name, i) * F.col(shift[c])
+    placed = _attach(solved, means, series, names, count)
+    return placed.withColumn(name, F.concat(F.array(back), F.slice(name, 2, len(columns)))).drop(*names)
 
 
 def _attach(df: DataFrame, table: DataFrame, series, columns, count: int) -> DataFrame:
@@ -152,10 +187,11 @@ def _halo(spec: ArxSpec) -> int:
     return max(1, lags + max(spec.difference_weights))
 
 
-def _z(t: Timeline, target: str, spec: ArxSpec):
+def _z(t: Timeline, column: str, spec: ArxSpec):
+    """A column differenced as the model asks."""
     z = None
     for lag, w in spec.difference_weights.items():
-        term = (F.col(target) if lag == 0 else F.lag(target, lag).over(t.window)) * w
+        term = (F.col(column) if lag == 0 else F.lag(column, lag).over(t.window)) * w
         z = term if z is None else z + term
     return z
 
@@ -168,13 +204,13 @@ def _dot(beta: str, columns):
 
 
 def _stage_one_columns(spec: ArxSpec) -> list[str]:
-    return (["__const"] if spec.intercept else []) + [f"__z{i}" for i in spec.stage_one_lags] + list(spec.exog)
+    return (["__const"] if spec.intercept else []) + [f"__z{i}" for i in spec.stage_one_lags]
 
 
 def _stage_two_columns(spec: ArxSpec) -> list[str]:
     return (["__const"] if spec.intercept else []) + [f"__z{i}" for i in spec.ar_lags] + [
         f"__e{i}" for i in spec.ma_lags
-    ] + list(spec.exog)
+    ]
 
 
 def _lagged(t: Timeline, df: DataFrame, spec: ArxSpec, target: str) -> DataFrame:
@@ -193,32 +229,85 @@ def _home(t: Timeline, df: DataFrame) -> DataFrame:
     return df.filter(HOME) if t.layout.chunked else df
 
 
+def _errors_only(spec: ArxSpec) -> ArxSpec:
+    return replace(spec, exog=())
+
+
+def _outside(spec: ArxSpec):
+    """The regressors' part of a row; needs ``beta``."""
+    first = (1 if spec.intercept else 0) + len(spec.ar_lags) + len(spec.ma_lags)
+    total = F.lit(0.0)
+    for i, c in enumerate(spec.exog, start=1):
+        total = total + F.element_at("beta", first + i) * F.col(c)
+    return total
+
+
+def _errors_model(model: ArxModel) -> ArxModel:
+    """The model of the regression's errors, which are in column ``__v``."""
+    own = len(model.spec.terms) - len(model.spec.exog)
+    return replace(model, spec=_errors_only(model.spec), target="__v", table=model.table.withColumn("beta", F.slice("beta", 1, own)))
+
+
+def _with_errors(df: DataFrame, model: ArxModel) -> DataFrame:
+    data = _attach(df, model.table, model.series, ["beta"], model.count)
+    return data.withColumn("__v", F.col(model.target) - _outside(model.spec)).drop("beta")
+
+
+def _regression_fit(data: DataFrame, spec: ArxSpec, target: str, series, order, layout: Layout) -> ArxModel:
+    """Regression whose errors follow the ARMA part: target and regressors are differenced alike.
+
+    The weights come from the differenced regression, the ARMA terms from its errors.
+    """
+    means, names = _means(data, spec, target, series)
+    means = means.persist()  # one row per series
+    count = means.count()
+    t = Timeline(_attach(data, means, series, names, count), layout, max(1, *spec.difference_weights))
+    columns = [f"__x{i}" for i in range(len(spec.exog))]
+    design = t.df.withColumns({"__y": _z(t, target, spec), "__const": F.lit(1.0), **{x: _z(t, c, spec) for x, c in zip(columns, spec.exog)}})
+    constant = ["__const"] if spec.intercept else []
+    weights = materialize(_fit_table(_home(t, design), [*constant, *columns], series, "beta", spec, means, count).drop("__all"))
+    means.unpersist()
+    lone = ArxModel(replace(spec, p=0, q=0, P=0, Q=0), series, order, target, weights, count)
+    errors = arx_fit(_with_errors(data, lone), _errors_only(spec), "__v", series, order, layout)
+    found = weights.select(*series, F.slice("beta", 1 + len(constant), len(columns)).alias("__weights"))
+    table = errors.table.join(found, list(series)) if series else errors.table.crossJoin(F.broadcast(found))  # one row each
+    table = table.withColumn("beta", F.concat("beta", "__weights")).drop("__weights")
+    return ArxModel(spec, series, order, target, materialize(table), errors.count)
+
+
 def arx_fit(df: DataFrame, spec: ArxSpec, target: str = TARGET, series=(), order=("date",),
             layout: Layout | None = None, chunk_rows: int | None = None) -> ArxModel:
     series, order = tuple(series), tuple(order)
     data = df.select(*dict.fromkeys([*series, *order, target, *spec.exog]))
     layout = layout or plan_layout(data, series, order, chunk_rows)
-    one, count = None, 1
+    if spec.exog:
+        return _regression_fit(data, spec, target, series, order, layout)
+    means, names = _means(data, spec, target, series)
+    means = means.persist()  # one row per series
+    count = means.count()
+    one = None
+    data = _attach(data, means, series, names, count)
     if spec.ma_lags:
         t = Timeline(data, layout, _halo(spec))
-        one = _fit_table(_home(t, _lagged(t, t.df, spec, target)), _stage_one_columns(spec), series, "beta1")
+        one = _fit_table(_home(t, _lagged(t, t.df, spec, target)), _stage_one_columns(spec), series, "beta1", spec, means, count)
         # a few dozen numbers per series; kept so that later stages do not refit them
         one = one.persist()
-        count = one.count() if series else 1
         data = _attach(data, one, series, ["beta1"], count)
     t = Timeline(data, layout, _halo(spec))
     design = _lagged(t, t.df, spec, target)
     if spec.ma_lags:
         design = _with_shocks(t, design, spec)
-    two = _fit_table(_home(t, design), _stage_two_columns(spec), series, "beta")
+    two = _fit_table(_home(t, design), _stage_two_columns(spec), series, "beta", spec, means, count)
     if one is not None:
         keys = list(series) or ["__all"]
         two = two.join(one.select(*keys, "beta1"), keys)
     else:
         two = two.withColumn("beta1", F.array().cast("array<double>"))
-    two = two.drop("__all").persist()
-    if series and one is None:
-        count = two.count()
+    # a few dozen numbers per series, stored: what they were computed from is let go
+    two = materialize(two.drop("__all"))
+    for held in (one, means):
+        if held is not None:
+            held.unpersist()
     return ArxModel(spec, series, order, target, two, count)
 
 
@@ -226,6 +315,9 @@ def arx_residuals(df: DataFrame, model: ArxModel, layout: Layout | None = None,
                   chunk_rows: int | None = None) -> DataFrame:
     """In-sample ``fitted`` and ``residual`` in the level of the target; rows without enough history are NULL."""
     spec = model.spec
+    if spec.exog:
+        out = arx_residuals(_with_errors(df, model), _errors_model(model), layout, chunk_rows)
+        return out.withColumn("fitted", F.col(model.target) - F.col("residual")).drop("__v")
     data = _attach(df, model.table, model.series, ["beta", "beta1"], model.count)
     t = Timeline(data, layout or plan_layout(df, model.series, model.order, chunk_rows), _halo(spec))
     design = _lagged(t, t.df, spec, model.target)
@@ -240,11 +332,18 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
                  layout: Layout | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Forecast for every row of ``future``, counted as the steps after each series' last history row.
 
+    Series without a fit, or with fewer rows than the recursion looks back on, get NULL.
+
     Spark computes the regressors' part and finds each series' last few values;
     the recursion itself is sequential and runs per series on (step, regressor
     part) pairs. Its group is the forecast horizon, not the history.
     """
     spec, series, order = model.spec, list(model.series), list(model.order)
+    if spec.exog:
+        past = _with_errors(history.select(*dict.fromkeys([*series, *order, model.target, *spec.exog])), model).select(*dict.fromkeys([*series, *order]), "__v")
+        ahead = _attach(future, model.table, series, ["beta"], model.count).withColumn("__outside_x", _outside(spec)).drop("beta")
+        out = arx_forecast(past, ahead, _errors_model(model), name, layout, chunk_rows)
+        return out.withColumn(name, F.col(name) + F.col("__outside_x")).drop("__outside_x")
     keys = series or ["__all"]
     diff, ar, ma = spec.difference_weights, spec.ar_lags, spec.ma_lags
     depth = max([1, *ar, *ma]) + max(diff)
@@ -263,12 +362,7 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
         F.col(model.target).cast("double").alias("y"), F.coalesce("__e0", F.lit(0.0)).alias("e"), "beta",
     )
     ahead = _attach(future, model.table, series, ["beta"], model.count)
-    first_x = (1 if spec.intercept else 0) + len(ar) + len(ma)
-    outside = F.lit(0.0)
-    if spec.intercept:
-        outside = outside + F.element_at("beta", 1)
-    for i, c in enumerate(spec.exog):
-        outside = outside + F.element_at("beta", first_x + i + 1) * F.col(c)
+    outside = F.element_at("beta", 1) if spec.intercept else F.when(F.col("beta").isNotNull(), F.lit(0.0))
     ahead = ahead.withColumn("__outside", outside).drop("beta")
     if not series:
         ahead = ahead.withColumn("__all", F.lit(0))
@@ -283,6 +377,8 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
         if past.empty or rows.empty:
             return out.assign(**{name: np.nan})
         past = past.sort_values("left", ascending=False)
+        if past["beta"].iloc[0] is None or len(past) < depth:
+            return out.assign(**{name: np.nan})  # too short to be fitted or continued
         beta = np.asarray(past["beta"].iloc[0], dtype=float)
         phi, theta = beta[skip:skip + len(ar)], beta[skip + len(ar):skip + len(ar) + len(ma)]
         y, e = list(past["y"]), list(past["e"])
@@ -306,7 +402,8 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
             result.append(level)
         return out.assign(**{name: result})
 
-    return tail.groupBy(*past_keys).cogroup(ahead.groupBy(*keys)).applyInPandas(recurse, schema)
+    ran = tail.groupBy(*past_keys).cogroup(ahead.groupBy(*keys)).applyInPandas(recurse, schema)
+    return ran.withColumn(name, F.when(~F.isnan(name), F.col(name)))
 
 
 # --- stationarity -----------------------------------------------------------
@@ -326,64 +423,81 @@ def mackinnon_p(stat: float) -> float:
     return 0.5 * (1 + math.erf(z / math.sqrt(2)))
 
 
-def _unit_root(y: np.ndarray) -> tuple[float, int, int]:
-    """Statistic, lag count and sample size of the constant-only test on one short array.
-
-    Every lag order is compared on the common sample through one matrix of cross
-    products; the statistic comes from the chosen order's own, longer sample.
-    """
-    step, n = np.diff(y), len(y)
-    deepest = max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
-
-    def products(lags: int) -> np.ndarray:
-        at = np.arange(lags, len(step))
-        x = np.column_stack([np.ones(len(at)), y[at], *[step[at - k] for k in range(1, lags + 1)], step[at]])
-        return x.T @ x
-
-    def sub(m: np.ndarray, lags: int) -> np.ndarray:
-        at = [*range(2 + lags), len(m) - 1]
-        return m[np.ix_(at, at)]
-
-    common = products(deepest)
-    size = common[0, 0]
+def _aic(m: np.ndarray, lags: int, size: float) -> float:
+    at = [*range(2 + lags), len(m) - 1]
+    ssr = max(_solve(m[np.ix_(at, at)])[1], 1e-300)
+    return size * (math.log(2 * math.pi * ssr / size) + 1) + 2 * (2 + lags)
 
-    def aic(lags: int) -> float:
-        ssr = max(_solve(sub(common, lags))[1], 1e-300)
-        return size * (math.log(2 * math.pi * ssr / size) + 1) + 2 * (2 + lags)
 
-    chosen = min(range(deepest + 1), key=aic)
-    own = products(chosen)
-    k = 2 + chosen
+def _statistic(m: np.ndarray, lags: int) -> tuple[float, int]:
+    """Statistic of the level's weight, and sample size."""
+    at = [*range(2 + lags), len(m) - 1]
+    own = m[np.ix_(at, at)]
+    k = 2 + lags
     beta, ssr = _solve(own)
+    if own[0, 0] <= k:
+        return float("nan"), int(own[0, 0])
     variance = ssr / (own[0, 0] - k) * np.linalg.pinv(own[:k, :k])[1, 1]
-    return (float(beta[1] / math.sqrt(variance)) if variance > 0 else float("nan")), chosen, int(own[0, 0])
+    return (float(beta[1] / math.sqrt(variance)) if variance > 0 else float("nan")), int(own[0, 0])
 
 
-def adf_test(df: DataFrame, column: str = TARGET, max_rows: int = ADF_ROWS, series=(), order=("date",)) -> DataFrame:
-    """Unit-root test with a constant on each series' first rows; the lag count minimises AIC.
+def adf_test(df: DataFrame, column: str = TARGET, max_rows: int | None = None, series=(), order=("date",),
+             layout: Layout | None = None, chunk_rows: int | None = None) -> DataFrame:
+    """Unit-root test with a constant, per series; the lag count minimises AIC. ``d`` is the differencing it asks for.
 
-    A group is at most ``max_rows`` rows of one column, whatever the series'
-    length, so it is tested as one array. ``d`` is the differencing the test asks for.
+    Two passes of cross products over (1, level, lagged steps, step): on the common sample of all lag counts to choose
+    one, then on the chosen count's own, longer sample. Only the small sums of a series meet in one task. With
+    ``max_rows`` the first so many rows of each series count. Missing values are left out; series of fewer than 8
+    values get no statistic and d = 1.
     """
-    head = first_rows(
-        df.filter(F.col(column).isNotNull()).select(*series, *order, F.col(column).cast("double").alias("y")),
-        max_rows, series=series, order=order,
-    )
-    keys = list(series) or ["__all"]
-    if not series:
-        head = head.withColumn("__all", F.lit(0))
-    kinds = {f.name: f.dataType.simpleString() for f in head.schema}
+    keys, order = list(series) or ["__all"], list(order)
+    data = df.select(*series, *order, F.col(column).cast("double").alias("y"))
+    if max_rows is not None:
+        data = first_rows(data, max_rows, series=series, order=order)
+    data = data.filter(F.col("y").isNotNull())
+    data = data if series else data.withColumn("__all", F.lit(0))
+    n = F.count(F.lit(1))
+    deepest = F.greatest(F.lit(0), F.least(F.ceil(F.pow(n / 100.0, 0.25) * 12), F.floor(n / 2) - 2)).cast("int")
+    sizes = materialize(data.groupBy(*keys).agg(n.alias("n"), deepest.alias("lags"), F.avg("y").alias("mean")))
+    count, most = sizes.agg(F.count(F.lit(1)), F.max("lags")).first()
+    kinds = {f.name: f.dataType.simpleString() for f in data.schema}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
+    most = most or 0
+    layout = layout or plan_layout(data.select(*keys, *order), keys, order, chunk_rows)
+    width = most + 3
+
+    def sums(lags: DataFrame) -> DataFrame:
+        """Cross products of each series' sample for its number of lags; lags beyond it are zero."""
+        t = Timeline(_attach(data, lags, keys, ["lags", "mean"], count), layout, most + 1)
+        step = t.df.withColumns({"__level": F.lag("y").over(t.window) - F.col("mean"), "__step": F.col("y") - F.lag("y").over(t.window)})
+        cols = {f"__s{k}": F.when(F.col("lags") >= k, F.lag("__step", k).over(t.window)).otherwise(0.0) for k in range(1, most + 1)}
+        design = _home(t, step.withColumns(cols)).withColumn("__one", F.lit(1.0))
+        return gram(design, ["__one", "__level", *cols, "__step"], keys)
+
+    def whole(pdf: pd.DataFrame) -> np.ndarray:
+        m = np.zeros((width, width))
+        i, j = pdf["i"].to_numpy(), pdf["j"].to_numpy()
+        m[i, j] = m[j, i] = pdf["g"].to_numpy()
+        return m
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = whole(pdf)
+        used = [k for k in range(most + 1) if k == 0 or m[1 + k, 1 + k] > 0]
+        lags = min(used, key=lambda k: _aic(m, k, m[0, 0])) if m[0, 0] else 0
+        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "lags": [lags]})
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(list(order), kind="stable")["y"].to_numpy()
-        stat, lags, used = _unit_root(y) if len(y) >= 8 else (float("nan"), 0, 0)
-        p = mackinnon_p(stat)
-        return pd.DataFrame({
-            **{c: [pdf[c].iloc[0]] for c in keys}, "statistic": [stat], "p_value": [p], "used_lag": [lags],
-            "nobs": [used], "d": [0 if p < 0.05 else 1],
-        })
-
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
-    return head.groupBy(*keys).applyInPandas(
-        test, f"{schema}, statistic double, p_value double, used_lag int, nobs bigint, d int"
-    ).drop("__all")
+        m = whole(pdf)
+        lags = max([0, *(k for k in range(1, most + 1) if m[1 + k, 1 + k] > 0)])
+        stat, used = _statistic(m, lags)
+        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "statistic": [stat], "p_value": [mackinnon_p(stat)], "used_lag": [lags], "nobs": [used]})
+
+    long = sizes.filter("n >= 8")
+    chosen = sums(long).groupBy(*keys).applyInPandas(choose, f"{schema}, lags int")
+    chosen = materialize(long.select(*keys, "mean").join(chosen, keys))
+    tested = sums(chosen).groupBy(*keys).applyInPandas(test, f"{schema}, statistic double, p_value double, used_lag int, nobs bigint")
+    out = sizes.select(*keys).join(tested, keys, "left").select(
+        *keys, *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("statistic", "p_value")), F.coalesce("used_lag", F.lit(0)).alias("used_lag"),
+        F.coalesce("nobs", F.lit(0).cast("bigint")).alias("nobs"), F.when(F.col("p_value") < 0.05, 0).otherwise(1).alias("d"),
+    )
+    return out.drop("__all")

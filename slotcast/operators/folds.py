@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.calendar import naive
 from ..schema import CV_FOLDS, CV_MONTHS, DATE, SEQUENCE_LENGTH
 
 
@@ -33,7 +34,7 @@ def _sides(bounds: list[tuple], ts: str):
     """(fold, is-train, is-val) conditions per fold. Bounds are literals, so roles are a projection, not a join."""
     t = F.col(ts)
     for i, (fold, start, end) in enumerate(bounds):
-        start, end = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+        start, end = naive(start), naive(end)
         yield fold, t < start, (t >= start) & (t <= end if i == len(bounds) - 1 else t < end)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..schema import MAX_EPOCHS, MIN_DELTA, PATIENCE
+from ..schema import MIN_DELTA, PATIENCE
 
 
 def overfit_gap(history: DataFrame) -> DataFrame:
@@ -21,13 +21,15 @@ def best_epoch(history: DataFrame, runs=("run_id",)) -> DataFrame:
 
 
 def early_stop_select(history: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA,
-                      max_epochs: int = MAX_EPOCHS, runs=("run_id",)) -> DataFrame:
+                      max_epochs: int | None = None, runs=("run_id",)) -> DataFrame:
     """Replays the stopping rule: an epoch counts only if it beats the best by more than ``min_delta``.
 
-    A run has at most ``max_epochs`` epochs by definition, so its history fits
-    in one small array that a fold walks through.
+    All epochs count unless ``max_epochs`` is given. A run's history is one array
+    of three numbers per epoch that a fold walks through.
     """
-    epochs = history.filter(F.col("epoch") <= max_epochs).groupBy(*runs).agg(
+    if max_epochs is not None:
+        history = history.filter(F.col("epoch") <= max_epochs)
+    epochs = history.groupBy(*runs).agg(
         F.array_sort(F.collect_list(F.struct("epoch", "train_loss", "val_loss"))).alias("h")
     )
     start = F.struct(

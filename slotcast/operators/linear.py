@@ -9,7 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.calendar import naive
 from ..schema import DATE, FEATURES, SEQUENCE_LENGTH, TARGET, TARGET_SCALED, present
+from ..session import materialize
 from .evaluate import error_metrics
 from .folds import usable_bounds
 from .gram import gram, to_matrix
@@ -41,22 +43,33 @@ class LinearModel:
         return out
 
 
-def ridge(m: np.ndarray, penalty: float) -> np.ndarray:
-    """Weights from the cross products of (1, features..., target); the constant is not penalised.
+def ridge(m: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+    """Constant and weights, and the mean squared error, from the cross products of (1, features..., target).
 
-    The columns are centred first, so an offset in a feature costs no precision.
+    The constant is not penalised. Columns should have been shifted to near zero mean before they were summed.
     """
     n = m[0, 0]
     mean = m[0, 1:] / n
     c = m[1:, 1:] - n * np.outer(mean, mean)
     k = len(c) - 1
     w = np.linalg.solve(c[:k, :k] + penalty * np.eye(k), c[:k, k])
-    return np.concatenate([[mean[k] - mean[:k] @ w], w])
+    v = np.append(w, -1.0)
+    return np.concatenate([[mean[k] - mean[:k] @ w], w]), float(max(v @ c @ v, 0.0) / n)
 
 
-def _mse(m: np.ndarray, beta: np.ndarray) -> float:
-    v = np.append(beta, -1.0)
-    return float(v @ m @ v / m[0, 0])
+def _shifts(df: DataFrame, columns) -> list[float]:
+    """Means of the columns: products of unshifted columns far from zero lose what tells them apart."""
+    row = df.agg(*[F.avg(F.col(c).cast("double")) for c in columns]).first()
+    return [v if v is not None else 0.0 for v in row]
+
+
+def _shifted(df: DataFrame, columns, shifts, keep=()) -> DataFrame:
+    return df.select(*keep, F.lit(1.0).alias("one"), *[(F.col(c).cast("double") - F.lit(v)).alias(f"c{i}") for i, (c, v) in enumerate(zip(columns, shifts))])
+
+
+def _unshifted(beta: np.ndarray, shifts) -> np.ndarray:
+    """The constant for columns as they were."""
+    return np.concatenate([[beta[0] + shifts[-1] - float(np.dot(beta[1:], shifts[:-1]))], beta[1:]])
 
 
 def _collect_gram(df: DataFrame, columns, group: str | None, k: int) -> dict:
@@ -70,10 +83,12 @@ def _collect_gram(df: DataFrame, columns, group: str | None, k: int) -> dict:
 
 def fit_ridge(df: DataFrame, features=FEATURES, target: str = TARGET_SCALED, penalty: float = 1.0) -> LinearModel:
     cols = present(df, features)
-    m = _collect_gram(df.withColumn("__one", F.lit(1.0)), ["__one", *cols, target], None, len(cols) + 2)
+    shifts = _shifts(df, [*cols, target])
+    names = ["one", *(f"c{i}" for i in range(len(cols) + 1))]
+    m = _collect_gram(_shifted(df, [*cols, target], shifts), names, None, len(names))
     if None not in m or m[None][0, 0] == 0:
         raise ValueError("no complete rows to fit on")
-    beta = ridge(m[None], penalty)
+    beta = _unshifted(ridge(m[None], penalty)[0], shifts)
     return LinearModel(tuple(cols), tuple(float(b) for b in beta[1:]), float(beta[0]))
 
 
@@ -84,49 +99,55 @@ def walk_forward_cv(df: DataFrame, bounds: list[tuple], features=FEATURES, targe
 
     The folds' training parts are nested, so rows are summed once per block of
     time between two bounds and a fold's sums are the running total of the
-    blocks before it. A fold is scored from its ``length``-th validation row on,
-    in the target's own unit when ``stats`` is given.
+    blocks before it. Blocks are cut by all bounds, whether their folds are
+    usable or not; usable folds are numbered in time order. A fold is scored from
+    its ``length``-th validation row on, in the target's own unit when ``stats``
+    is given.
     """
     order = tuple(order or (ts,))
     cols = present(df, features)
-    bounds = usable_bounds(df, bounds, length, ts)
+    usable = usable_bounds(df, bounds, length, ts)
     schema = (
         "fold_id int, train_start string, train_end string, val_start string, val_end string, train_rows bigint, "
         "val_rows bigint, scored_rows bigint, train_loss double, val_loss double, val_mae double, val_rmse double, "
         "val_r2 double, overfit_gap double"
     )
     spark = df.sparkSession
-    if not bounds:
+    if not usable:
         return spark.createDataFrame([], schema)
+    blocks = [i for i, b in enumerate(bounds, start=1) if b in usable]
     block = F.lit(0)
     for _, start, _ in bounds:
-        block = block + (F.col(ts) >= F.lit(start).cast("timestamp_ntz")).cast("int")
-    blocked = df.withColumn("block", block)
+        block = block + (F.col(ts) >= naive(start)).cast("int")
+    inside = F.col(ts) <= naive(bounds[-1][2])
+    blocked = df.withColumn("block", block).filter(inside)
+    shifts = _shifts(df, [*cols, target])
     spans = {
         r["block"]: r for r in blocked.groupBy("block").agg(
             F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")
         ).collect()
     }
     k = len(cols) + 2
-    grams = _collect_gram(
-        blocked.select("block", F.lit(1.0).alias("one"), *cols, target), ["one", *cols, target], "block", k
-    )
+    names = ["one", *(f"c{i}" for i in range(len(cols) + 1))]
+    grams = _collect_gram(_shifted(blocked, [*cols, target], shifts, ["block"]), names, "block", k)
     fits, train = {}, np.zeros((k, k))
     for i in range(1, len(bounds) + 1):
         train = train + grams.get(i - 1, np.zeros((k, k)))
-        fits[i] = (ridge(train, penalty), train)
+        if i in blocks:
+            beta, loss = ridge(train, penalty)
+            fits[i] = (_unshifted(beta, shifts), loss)
 
     # the weights of a row's fold, picked from a small literal table by block number
-    predicted = F.element_at(F.array(*[F.lit(float(fits[i][0][0])) for i in fits]), F.col("block"))
+    def weight(j):
+        return F.element_at(F.array(*[F.lit(float(fits[i][0][j]) if i in fits else 0.0) for i in range(1, len(bounds) + 1)]), F.col("block"))
+
+    predicted = weight(0)
     for j, c in enumerate(cols, start=1):
-        table = F.array(*[F.lit(float(fits[i][0][j])) for i in fits])
-        predicted = predicted + F.col(c) * F.element_at(table, F.col("block"))
-    scored = blocked.filter("block > 0").select("block", *order, F.col(target).alias("actual"), predicted.alias("predicted"))
+        predicted = predicted + F.col(c) * weight(j)
+    scored = blocked.filter(F.col("block").isin(blocks)).select("block", *order, F.col(target).alias("actual"), predicted.alias("predicted"))
     scored = indexed(scored, ("block",), order).filter(F.col("row_index") >= length - 1)
-    losses = {r["block"]: r["rmse"] ** 2 for r in error_metrics(scored, by=("block",)).collect()} if stats else None
-    if stats is not None:
-        mean, scale = stats[raw_target]
-        scored = scored.withColumns({c: F.col(c) * scale + mean for c in ("actual", "predicted")})
+    mean, scale = stats[raw_target] if stats is not None else (0.0, 1.0)
+    scored = scored.withColumns({c: F.col(c) * scale + mean for c in ("actual", "predicted")})
     metrics = {r["block"]: r for r in error_metrics(scored, by=("block",)).collect()}
 
     def day(value):
@@ -134,15 +155,14 @@ def walk_forward_cv(df: DataFrame, bounds: list[tuple], features=FEATURES, targe
 
     rows = []
     first = min(s["first"] for s in spans.values())
-    for i in range(1, len(bounds) + 1):
+    for number, i in enumerate(blocks, start=1):
         m = metrics[i]
-        val_loss = losses[i] if losses else m["rmse"] ** 2
-        train_loss = _mse(fits[i][1], fits[i][0])
+        val_loss = (m["rmse"] / scale) ** 2
         before = [spans[b] for b in spans if b < i]
         rows.append((
-            i, day(first), day(max(s["last"] for s in before)), day(spans[i]["first"]), day(spans[i]["last"]),
-            sum(s["n"] for s in before), spans[i]["n"], m["n"], train_loss, val_loss, m["mae"], m["rmse"], m["r2"],
-            val_loss - train_loss,
+            number, day(first), day(max(s["last"] for s in before)), day(spans[i]["first"]), day(spans[i]["last"]),
+            sum(s["n"] for s in before), spans[i]["n"], m["n"], fits[i][1], val_loss, m["mae"], m["rmse"], m["r2"],
+            val_loss - fits[i][1],
         ))
     return spark.createDataFrame(rows, schema)
 
@@ -188,11 +208,17 @@ def score_windows(df: DataFrame, features, predictor: Callable[[np.ndarray], np.
 
 
 def align_predictions(rows: DataFrame, predictions: DataFrame, keys=(DATE,), name: str = "predicted",
-                      order=(DATE,)) -> DataFrame:
-    """Predictions placed at their rows; rows before the first prediction take that first one."""
-    valid = predictions.filter(F.col(name).isNotNull())
-    first = valid.orderBy(*order).select(name).first()
-    joined = rows.join(valid.select(*keys, name), list(keys), "left")
-    if first is None:
-        return joined
-    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(first[0])))
+                      order=(DATE,), series=()) -> DataFrame:
+    """Predictions placed at their rows; rows before a series' first prediction take that first one.
+
+    Holes further on stay NULL. ``order`` and ``series`` are columns of both tables, ``series`` part of ``keys``.
+    """
+    order, series = list(order), list(series)
+    valid = materialize(predictions.filter(F.col(name).isNotNull()).select(*dict.fromkeys([*series, *keys, *order]), name))
+    at = F.struct(*order)
+    first = valid.groupBy(*series).agg(F.min(at).alias("__at"), F.min_by(name, at).alias("__first"))
+    joined = rows.join(valid.select(*dict.fromkeys([*series, *keys]), name), list(dict.fromkeys([*series, *keys])), "left")
+    # without series the right side is one row
+    joined = joined.join(first, series, "left") if series else joined.join(F.broadcast(first), F.lit(True), "left")
+    early = at < F.col("__at")
+    return joined.withColumn(name, F.when(early, F.coalesce(F.col(name), F.col("__first"))).otherwise(F.col(name))).drop("__at", "__first")

@@ -20,8 +20,8 @@ from ..schema import (
     CORE, ELBOW_RANGE, REGIME_INITS, REGIME_MAX_ITER, REGIME_SEED, REGIMES, TARGET, regime_columns,
 )
 
-# Rows used to place starting centres only; every row takes part in the fit.
-START_ROWS = 5_000
+# Candidate starting centres drawn per round, as a multiple of the largest cluster count, and rounds.
+OVERSAMPLING, OVERSAMPLING_ROUNDS = 8, 4
 TOLERANCE = 1e-4
 
 
@@ -43,25 +43,25 @@ class Regimes:
         return cls(columns, tuple(tuple(r[c] for c in columns) for r in rows), inertia)
 
 
-def _spread_starts(x: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """Distance-weighted starting centres from a small array of rows."""
+def _spread_starts(x: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Distance-weighted starting centres from a small array of weighted points."""
     rng = np.random.default_rng(seed)
-    centres = [x[rng.integers(len(x))]]
-    near = ((x - centres[0]) ** 2).sum(1)
+    centres = [x[rng.choice(len(x), p=weight / weight.sum())]]
+    near = weight * ((x - centres[0]) ** 2).sum(1)
     for _ in range(1, k):
         total = near.sum()
         pick = rng.choice(len(x), p=near / total) if total > 0 else rng.integers(len(x))
         centres.append(x[pick])
-        near = np.minimum(near, ((x - x[pick]) ** 2).sum(1))
-    return _settle(x, np.array(centres))
+        near = np.minimum(near, weight * ((x - x[pick]) ** 2).sum(1))
+    return _settle(x, weight, np.array(centres))
 
 
-def _settle(x: np.ndarray, centres: np.ndarray, rounds: int = 50) -> np.ndarray:
+def _settle(x: np.ndarray, weight: np.ndarray, centres: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Moves starting centres to rest on the small array, so that the full table needs few passes."""
     for _ in range(rounds):
         label = ((centres ** 2).sum(1) - 2 * x @ centres.T).argmin(1)
-        count = np.bincount(label, minlength=len(centres))
-        sums = np.stack([np.bincount(label, weights=x[:, d], minlength=len(centres)) for d in range(x.shape[1])], 1)
+        count = np.bincount(label, weights=weight, minlength=len(centres))
+        sums = np.stack([np.bincount(label, weights=weight * x[:, d], minlength=len(centres)) for d in range(x.shape[1])], 1)
         new = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
         if np.allclose(new, centres):
             break
@@ -69,6 +69,38 @@ def _settle(x: np.ndarray, centres: np.ndarray, rounds: int = 50) -> np.ndarray:
     return centres
 
 
+def _candidates(points: DataFrame, columns, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted candidate centres from all rows by distance-weighted oversampling.
+
+    A round draws each point with a chance in proportion to its squared distance from the candidates so far, about
+    ``OVERSAMPLING * most`` of them. The draw is a hash of the point's coordinates and the round, so it is the same
+    however the table is partitioned. Every row then counts for its nearest candidate.
+    """
+    first = points.orderBy(F.xxhash64(*columns, F.lit(-1)), *columns).limit(1).toPandas().to_numpy(dtype=float)
+    found = first
+    for number in range(OVERSAMPLING_ROUNDS):
+        held = found
+
+        def distances(batches):
+            for pdf in batches:
+                x = pdf.iloc[:, :len(columns)].to_numpy(dtype=float)
+                near = np.full(len(x), np.inf)
+                for c in held:
+                    near = np.minimum(near, ((x - c) ** 2).sum(1))
+                yield pdf.assign(near=near)
+
+        chance = (F.xxhash64(*columns, F.lit(number)).cast("double") / F.lit(2.0 ** 64) + 0.5).alias("chance")
+        schema = ", ".join([f"`{c}` double" for c in columns] + ["chance double", "near double"])
+        measured = points.select(*columns, chance).mapInPandas(distances, schema)
+        total = measured.agg(F.sum("near")).first()[0]
+        if not total:
+            break
+        drawn = measured.filter(F.col("chance") < F.col("near") * (OVERSAMPLING * most / total)).select(*columns).distinct()
+        found = np.unique(np.concatenate([found, drawn.toPandas().to_numpy(dtype=float)]), axis=0)
+    counts = _pass(points, {0: found}, len(columns)).get(0, {})
+    return found, np.array([counts.get(i, (0.0,))[0] for i in range(len(found))], dtype=float)
+
+
 def _pass(points: DataFrame, models: dict[int, np.ndarray], dims: int):
     """One reading of the data under several sets of centres: counts, sums and inertia per centre."""
     names = [f"s{d}" for d in range(dims)]
@@ -113,10 +145,8 @@ def _fit_all(df: DataFrame, columns, wanted: list[tuple[int, int]], max_iter: in
         n, variance = stats[0], float(np.mean([v or 0.0 for v in stats[1:]]))
         if not n:
             raise ValueError("no complete rows to cluster")
-        start = points if n <= START_ROWS else points.sample(min(1.0, 1.2 * START_ROWS / n), seed=REGIME_SEED)
-        x = start.limit(2 * START_ROWS).toPandas().to_numpy(dtype=float)
-        x = x[np.lexsort(x.T[::-1])]  # the draw must not depend on task order
-        centres = {m: _spread_starts(x, k, seed) for m, (k, seed) in enumerate(wanted)}
+        x, weight = _candidates(points, list(columns), max(k for k, _ in wanted))
+        centres = {m: _spread_starts(x, weight, k, seed) for m, (k, seed) in enumerate(wanted)}
         active = set(centres)
         for _ in range(max_iter):
             if not active:

@@ -6,12 +6,13 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..schema import ARIMA_HOLDOUT_ROWS, ARIMA_TRAIN_ROWS, SLOTS_PER_DAY, VALIDATION_FRACTION
+from ..functions.calendar import naive
+from ..schema import ARIMA_HOLDOUT_ROWS, SLOTS_PER_DAY, VALIDATION_FRACTION
 from .timeline import Layout, order_key
 from .windows import indexed
 
 INDEX, ROWS = "row_index", "series_rows"
-# Tables up to this many rows are sorted as they are; beyond, the edge is found first.
+# Tables up to this many rows are sorted as they are; beyond, the edge is found first. The rows are the same.
 SORTABLE = 1_000_000
 EDGE_PARTS = 4096
 EPOCH = datetime(1970, 1, 1)
@@ -25,7 +26,7 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.drop(INDEX, ROWS)
 
 
-def _near_edge(df: DataFrame, n: int, order, last: bool) -> DataFrame:
+def _near_edge(df: DataFrame, n: int, order, last: bool, sortable: int) -> DataFrame:
     """Only the stretch of the first order column that holds the n outermost rows.
 
     A top-n makes every task hand its n best rows to one task. For thousands of
@@ -37,7 +38,7 @@ def _near_edge(df: DataFrame, n: int, order, last: bool) -> DataFrame:
     if key is None:
         return df
     rows, lo, hi = df.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
-    if rows <= max(SORTABLE, 4 * n) or lo is None:
+    if rows <= max(sortable, 4 * n) or lo is None:
         return df
     width = max(1, (hi - lo + 1) // EDGE_PARTS)
     counts = df.groupBy((key - F.pmod(key, F.lit(width))).alias("b")).agg(F.count(F.lit(1)).alias("c")).filter("b IS NOT NULL")
@@ -51,7 +52,7 @@ def _near_edge(df: DataFrame, n: int, order, last: bool) -> DataFrame:
     column, edge = F.col(order[0]), bound if last else bound + width
     kind = df.schema[order[0]].dataType
     if isinstance(kind, T.TimestampNTZType):
-        edge = F.lit(EPOCH + timedelta(microseconds=edge)).cast("timestamp_ntz")
+        edge = naive(EPOCH + timedelta(microseconds=edge))
     elif not isinstance(kind, T.IntegralType):
         column = key
     return df.filter(column >= edge) if last else df.filter((column < edge) | column.isNull())
@@ -64,10 +65,10 @@ def downsample(df: DataFrame, step: int = 4, series=(), order=("date",), layout:
 
 
 def first_rows(df: DataFrame, n: int, series=(), order=("date",), layout: Layout | None = None,
-               chunk_rows: int | None = None) -> DataFrame:
+               chunk_rows: int | None = None, sortable: int | None = None) -> DataFrame:
     """The first n rows of each series; one series alone is a top-k, which needs no row index."""
     if not series:
-        return _near_edge(df, n, order, last=False).orderBy(*order).limit(n)
+        return _near_edge(df, n, order, False, SORTABLE if sortable is None else sortable).orderBy(*order).limit(n)
     return _plain(_at(df, series, order, layout, chunk_rows).filter(F.col(INDEX) < n))
 
 
@@ -76,10 +77,10 @@ def first_days(df: DataFrame, days: int = 7, **kw) -> DataFrame:
 
 
 def last_rows(df: DataFrame, n: int, series=(), order=("date",), layout: Layout | None = None,
-              chunk_rows: int | None = None) -> DataFrame:
+              chunk_rows: int | None = None, sortable: int | None = None) -> DataFrame:
     """The last n rows of each series."""
     if not series:
-        return _near_edge(df, n, order, last=True).orderBy(*[F.desc(c) for c in order]).limit(n)
+        return _near_edge(df, n, order, True, SORTABLE if sortable is None else sortable).orderBy(*[F.desc(c) for c in order]).limit(n)
     return _plain(_at(df, series, order, layout, chunk_rows).filter(F.col(INDEX) >= F.col(ROWS) - n))
 
 
@@ -91,12 +92,16 @@ def temporal_split(df: DataFrame, fraction: float = VALIDATION_FRACTION, series=
     return _plain(at.withColumn("role", F.when(F.col(INDEX) < cut, "train").otherwise("val")))
 
 
-def holdout_tail(df: DataFrame, holdout: int = ARIMA_HOLDOUT_ROWS, fit_rows: int = ARIMA_TRAIN_ROWS, series=(),
+def holdout_tail(df: DataFrame, holdout: int = ARIMA_HOLDOUT_ROWS, fit_rows: int | None = None, series=(),
                  order=("date",), layout: Layout | None = None, chunk_rows: int | None = None) -> DataFrame:
-    """Adds ``role``: ``val`` for the last ``holdout`` rows, ``fit`` for up to ``fit_rows`` rows before; earlier rows go."""
+    """Adds ``role``: ``val`` for the last ``holdout`` rows, ``fit`` for all rows before.
+
+    With ``fit_rows`` only so many of these, and earlier rows go.
+    """
     at = _at(df, series, order, layout, chunk_rows)
     edge = F.col(ROWS) - holdout
-    role = F.when(F.col(INDEX) >= edge, "val").when(F.col(INDEX) >= edge - fit_rows, "fit")
+    fit = F.col(INDEX) >= edge - fit_rows if fit_rows is not None else F.lit(True)
+    role = F.when(F.col(INDEX) >= edge, "val").when(fit, "fit")
     return _plain(at.withColumn("role", role).filter(F.col("role").isNotNull()))
 
 

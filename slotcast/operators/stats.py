@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..schema import ACF_LAGS, ARIMA_TRAIN_ROWS, LAG_LABELS, LAGS, TARGET, present
+from ..schema import ACF_LAGS, LAG_LABELS, LAGS, TARGET, present
 from .quantiles import exact_quantiles, quantile_table
 from .timeline import Layout, open_timeline
 
@@ -109,7 +109,7 @@ def autocovariance_sums(df: DataFrame, column: str, nlags: int, last_rows: int |
     return _long(row, [*series, "rows"], pairs, "lag", "s")
 
 
-def acf(df: DataFrame, column: str = TARGET, nlags: int = 10, last_rows: int | None = ARIMA_TRAIN_ROWS,
+def acf(df: DataFrame, column: str = TARGET, nlags: int = 10, last_rows: int | None = None,
         series=(), order=("date",), layout: Layout | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Autocorrelation with the global mean and the full length as divisor (the biased estimate)."""
     s = autocovariance_sums(df, column, nlags, last_rows, series, order, layout, chunk_rows)
@@ -125,7 +125,7 @@ def acf(df: DataFrame, column: str = TARGET, nlags: int = 10, last_rows: int | N
 
 
 def pacf(df: DataFrame, column: str = TARGET, nlags: int = 10, method: str = "ywadjusted",
-         last_rows: int | None = ARIMA_TRAIN_ROWS, series=(), order=("date",), layout: Layout | None = None,
+         last_rows: int | None = None, series=(), order=("date",), layout: Layout | None = None,
          chunk_rows: int | None = None) -> DataFrame:
     """Partial autocorrelation by Yule-Walker: the sums come from Spark, the recursion runs on nlags numbers.
 

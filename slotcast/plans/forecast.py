@@ -16,7 +16,7 @@ from ..operators.scaling import exog_stats, inverse_scale, standardize_exog
 from ..operators.timeline import plan_layout
 from ..operators.slices import holdout_tail, last_rows, temporal_split
 from ..schema import (
-    ARIMA_HOLDOUT_ROWS, ARIMA_TRAIN_ROWS, FEATURES, SEQUENCE_LENGTH, TARGET, VALIDATION_FRACTION, present,
+    ADF_ROWS, ARIMA_HOLDOUT_ROWS, ARIMA_TRAIN_ROWS, FEATURES, SEQUENCE_LENGTH, TARGET, VALIDATION_FRACTION, present,
 )
 from ..session import materialize
 from ..sources.sinks import submission
@@ -61,7 +61,7 @@ class Classical:
 
 
 def holdout_eval(y: DataFrame, spec: ArxSpec, target: str = TARGET, holdout: int = ARIMA_HOLDOUT_ROWS,
-                 fit_rows: int = ARIMA_TRAIN_ROWS, series=(), order=("date",)) -> tuple[DataFrame, DataFrame]:
+                 fit_rows: int | None = None, series=(), order=("date",)) -> tuple[DataFrame, DataFrame]:
     """Fit on the rows before the holdout, forecast it, and measure: (validation rows, metrics)."""
     layout = plan_layout(y, series, order)
     # the fit, the forecast and the metrics all read these rows
@@ -93,13 +93,13 @@ def classical_forecast(train: DataFrame, test: DataFrame, family: str = "arima",
     """Raw tables to submission with one of the families ``arima``, ``arimax``, ``sarima``.
 
     Grid, median fill, unit-root test for d, regressors standardised on train,
-    holdout evaluation and calibration, final fit on the last year, forecast of
+    holdout evaluation and calibration, final fit on the last year (``fit_rows``), forecast of
     every test slot.
     """
     # every later step starts from these two tables
     y, ahead = materialize(regular_grid(train)), materialize(regular_grid(test))
     y = median_fill(y, TARGET)
-    d = adf_test(y).first()["d"]
+    d = adf_test(y, max_rows=ADF_ROWS).first()["d"]
     spec = {"arima": ARIMA, "arimax": ARIMAX, "sarima": SARIMA}[family]
     if family != "arima":
         add = fourier_arimax if family == "arimax" else fourier_sarima

@@ -18,7 +18,6 @@ SEQUENCE_LENGTH = 96
 VALIDATION_FRACTION = 0.2
 CV_FOLDS = 4
 CV_MONTHS = 6
-MAX_EPOCHS = 100
 PATIENCE = 10
 MIN_DELTA = 1e-4
 REGIMES = 5

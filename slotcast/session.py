@@ -42,11 +42,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the cluster's own setting, or a fresh local one in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder for intermediate tables, shared by driver and executors: the cluster's own ``spark.checkpoint.dir``.
+
+    Only a session whose executors are the driver process itself may fall back to a folder of this machine.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
-        shared = shared or tempfile.mkdtemp(prefix="slotcast-checkpoint-")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            shared = tempfile.mkdtemp(prefix="slotcast-checkpoint-")
         spark.sparkContext.setCheckpointDir(shared)
         current = spark.sparkContext.getCheckpointDir()
     return current

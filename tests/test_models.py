@@ -66,9 +66,9 @@ def test_elbow_falls(scaled):
 # --- calibration --------------------------------------------------------------
 @pytest.fixture(scope="module")
 def pairs(spark):
-    rng = np.random.default_rng(42)
-    actual = rng.normal(0, 200, 500)
-    return spark.createDataFrame(pd.DataFrame({"predicted": actual + rng.normal(0, 200, 500), "actual": actual}))
+    rng = np.random.default_rng(6)
+    predicted = rng.laplace(15, 120, 640)
+    return spark.createDataFrame(pd.DataFrame({"predicted": predicted, "actual": 0.6 * predicted + rng.standard_t(4, 640) * 90}))
 
 
 @pytest.mark.parametrize("c", [1e6, 1.0, 1e-3])
