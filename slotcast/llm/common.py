@@ -164,6 +164,36 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+# Rows of one or two ids that may be broadcast (about 40 bytes each in memory) where their number was counted first;
+# more are joined by shuffle, with the same result.
+BROADCAST_IDS = 2_000_000
+
+
+def lookup(ids: DataFrame, count: int | None = None) -> DataFrame:
+    """A narrow table to join with: broadcast if it was counted and is small."""
+    return F.broadcast(ids) if (ids.count() if count is None else count) <= BROADCAST_IDS else ids
+
+
+def only(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose doc_id is (left_semi) or isn't (left_anti) in ``ids``: wide rows stay where they are if ids are few."""
+    return rows.join(lookup(ids.select("doc_id")), "doc_id", how)
+
+
+def contracted_labels(edges: DataFrame) -> DataFrame:
+    """``least_labels`` of many edges (a < b): first along one edge of each node, then among what is left."""
+    first = least_labels(edges.groupBy("b").agg(F.min("a").alias("a")))
+    count = first.count()
+    up = lambda side: lookup(first.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label")), count)
+    rest = stored(
+        edges.join(up("a"), "a").join(up("b"), "b").where("a_label <> b_label")
+        .select(F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b")).distinct()
+    )
+    if not rest.limit(1).count():
+        return first
+    second = least_labels(rest).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    return stored(first.join(lookup(second), "label", "left").select("node", F.coalesce("least", "label").alias("label")))
+
+
 def least_labels(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, label), label the least node reachable.
 
@@ -172,12 +202,13 @@ def least_labels(edges: DataFrame) -> DataFrame:
     """
     both = stored(edges.select("a", "b").where("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        spread = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+    count = labels.count()
+    while count:
+        near = both.join(lookup(labels.select(F.col("node").alias("b"), "label"), count), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        spread = near.join(lookup(labels, count), "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        moved = stored(spread.join(up, "label").select("node", "was", F.least("label", "up").alias("label")))
-        changed = moved.where("label <> was").limit(1).count()
+        moved = stored(spread.join(lookup(up, count), "label").select("node", "was", F.least("label", "up").alias("label")))
         labels = moved.select("node", "label")
-        if not changed:
-            return labels
+        if not moved.where("label <> was").limit(1).count():
+            break
+    return labels

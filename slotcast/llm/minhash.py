@@ -25,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHasher, bytes_of, grams, least_labels, mixed, slices, stored
+from .common import WordHasher, bytes_of, contracted_labels, grams, least_labels, lookup, mixed, only, slices, stored
 
-REGISTERS, BANDS, BAND_ROWS = 512, 56, 6
+REGISTERS, BANDS, BAND_ROWS = 512, 64, 8
 BASE, SCALE, TOP = 1.001, 20.0, 65534
 BLOCK = 1024
 # Standard errors of the estimate below the threshold at which a pair is still confirmed.
@@ -106,10 +106,9 @@ def features(docs: DataFrame, n: int, lower: bool) -> DataFrame:
 
 def candidate_links(classes: DataFrame) -> DataFrame:
     """Links (a, b) between each class and the least class of every band value it shares with another."""
-    hexed = F.hex("sketch")
-    width = 4 * BAND_ROWS
-    bands = F.array(*[F.xxhash64(F.lit(i), F.substring(F.col("hexed"), 1 + i * width, width)) for i in range(BANDS)])
-    rows = classes.select("doc_id", hexed.alias("hexed")).select("doc_id", F.explode(bands).alias("band"))
+    width = 2 * BAND_ROWS
+    bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 1 + i * width, width)) for i in range(BANDS)])
+    rows = classes.select("doc_id", F.explode(bands).alias("band"))
     shared = rows.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last").select("band", "a")
     return rows.join(shared, "band").where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
 
@@ -132,9 +131,9 @@ def may_reach(equal: np.ndarray, greater: np.ndarray, size_a: float, size_b: np.
 
 
 def _settle(ids, sizes, sketch, sets, labels, probe, percent: int) -> tuple[list[tuple[int, int]], int]:
-    """Confirmed links that connect what the threshold connects, and the most central member.
+    """What confirmed links join, as (least label, label) of the known components ``labels``, and the most central member.
 
-    With ``probe`` only pairs with a probe are looked at. ``labels`` are known components.
+    With ``probe`` only pairs with a probe are looked at. Stars instead of the links themselves keep the graph shallow.
     """
     count = len(ids)
     parent = {x: x for x in labels}
@@ -159,7 +158,6 @@ def _settle(ids, sizes, sketch, sets, labels, probe, percent: int) -> tuple[list
             greater = (sketch[others] < sketch[i]).sum(axis=1)
             good = may_reach(equal, greater, sizes[i], sizes[others], percent / 100)
             found += [(-e, i, k) for e, k in zip(equal[good].tolist(), others[good].tolist()) if labels[i] != labels[k]]
-    links = []
     for _, i, k in sorted(found):
         a, b = top(labels[i]), top(labels[k])
         if a == b:
@@ -167,8 +165,7 @@ def _settle(ids, sizes, sketch, sets, labels, probe, percent: int) -> tuple[list
         common = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
         if 100 * common >= percent * (len(sets[i]) + len(sets[k]) - common):
             parent[max(a, b)] = min(a, b)
-            links.append((int(ids[i]), int(ids[k])))
-    return links, int(ids[int(central.argmax())])
+    return [(top(x), x) for x in sorted(parent) if top(x) != x], int(ids[int(central.argmax())])
 
 
 def _blocks(members: DataFrame, percent: int) -> DataFrame:
@@ -199,17 +196,17 @@ def _elements(docs: DataFrame, members: DataFrame, n: int, lower: bool) -> DataF
                 elements, at = shingle_sets(words, before, n)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low).cast(pa.int64()), pa.array([elements[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], names=["doc_id", "elements"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").join(members.select("doc_id"), "doc_id", "left_semi").mapInArrow(make, "doc_id long, elements binary")
+    return only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), members).mapInArrow(make, "doc_id long, elements binary")
 
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int, lower: bool, block: int = BLOCK) -> DataFrame:
-    """Confirmed links (a, b) between classes; their connected components are those of all links."""
-    groups = least_labels(candidate_links(classes)).select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"))
-    sizes = groups.groupBy("cluster").agg(F.count("*").alias("size"))
+    """Edges (a, b) whose connected components are those of all confirmed links between classes."""
+    groups = contracted_labels(stored(candidate_links(classes))).select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"))
+    sizes = lookup(groups.groupBy("cluster").agg(F.count("*").alias("size")))
     # 1 block for a group that fits, else blocks of half the size on average: a hash deals them unevenly.
     members = (
         groups.join(sizes, "cluster").withColumn("blocks", F.when(F.col("size") <= block, 1).otherwise(F.ceil(F.col("size") * 2 / block)).cast("int"))
-        .join(classes.select("doc_id", "sketch"), "doc_id").join(_elements(docs, groups, n, lower), "doc_id")
+        .join(only(classes.select("doc_id", "sketch"), groups), "doc_id").join(_elements(docs, groups, n, lower), "doc_id")
         .select("cluster", "doc_id", "blocks", "sketch", "elements")
     )
     members = stored(members.withColumn("label", F.col("doc_id")).withColumn("probe", F.lit(False)))
@@ -250,7 +247,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, lower: bool
     classes = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes)
     members = rows.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
-    heads = rows.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "sketch")
+    copies = stored(members.where("class_id <> doc_id").select("doc_id"))
+    heads = only(rows.where("set_key is not null").select("doc_id", "sketch"), copies, "left_anti")
     found = links(docs, heads, n, percent, lower, block)
     labels = least_labels(found).select(F.col("node").alias("class_id"), "label")
     return members.join(labels, "class_id", "left").select(
