@@ -99,9 +99,43 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(read(spark, folder, "pages"), RULES)
 
 
-@register("op9_templates")
+def template_sql(window: int = 8, least: int = 6) -> str:
+    """The canonical form, its windows, runs and slot check, as the operator describes them."""
+    t = templates
+    slash = lambda pattern: pattern.replace("'", "''")
+    names, numbers, units, other = map(slash, (t.NAMES_RE, t.NUMBERS_RE, t.UNITS_RE, t.OTHER_RE))
+    return f"""
+WITH t AS (SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS t FROM documents UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+m AS (SELECT *, regexp_replace(lower(regexp_replace(t, '{names}', '\\1 {t.NAME} ', 'g')), '{numbers}', ' {t.NUMBER} ', 'g') AS marked FROM t),
+w AS (SELECT *, string_split(trim(regexp_replace(regexp_replace(marked, '{units}', '\\1 {t.UNIT} \\3', 'g'), '{other}', ' ', 'g')), ' ') AS words FROM m),
+x AS (SELECT side, id, unnest(range(1, len(words) - {window - 2})) AS pos FROM w WHERE len(words) >= {window}),
+k AS (SELECT x.*, array_to_string(words[pos:pos + {window - 1}], ' ') AS key FROM x JOIN w USING (side, id)),
+hit AS (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, d.pos, b.pos AS item_pos, d.pos - b.pos AS off, regexp_matches(key, '[{t.NAME}-{t.UNIT}]') AS slotted
+  FROM (SELECT * FROM k WHERE side = 'd') d JOIN (SELECT * FROM k WHERE side = 'b') b USING (key)),
+s AS (SELECT *, row_number() OVER (PARTITION BY side, id, kind ORDER BY place) AS nth
+  FROM (SELECT side, id, unnest(range(1, len(words) + 1)) AS place, unnest(words) AS kind FROM w) WHERE kind IN ('{t.NAME}', '{t.NUMBER}', '{t.UNIT}')),
+v AS (SELECT side, id, place, CASE kind WHEN '{t.NAME}' THEN 'n' || regexp_extract_all(t, '{names}', 2)[nth]
+  WHEN '{t.NUMBER}' THEN 'd' || regexp_extract_all(lower(t), '{numbers}', 1)[nth] ELSE 'u' || regexp_extract_all(marked, '{units}', 2)[nth] END AS value
+  FROM s JOIN w USING (side, id)),
+f AS (SELECT DISTINCT h.doc_id, h.item_id, h.off, vd.value AS dv, vb.value AS bv FROM hit h
+  JOIN v vd ON vd.side = 'd' AND vd.id = h.doc_id AND vd.place BETWEEN h.pos AND h.pos + {window - 1}
+  JOIN v vb ON vb.side = 'b' AND vb.id = h.item_id AND vb.place = vd.place - h.off WHERE slotted),
+broken AS (SELECT doc_id, item_id, off FROM f GROUP BY doc_id, item_id, off, bv HAVING count(*) > 1
+  UNION SELECT doc_id, item_id, off FROM f GROUP BY doc_id, item_id, off, dv HAVING count(*) > 1),
+c AS (SELECT h.doc_id, h.item_id, h.off, count(DISTINCT CASE WHEN b.off IS NULL OR NOT slotted THEN item_pos END) AS n FROM hit h
+  LEFT JOIN broken b ON h.doc_id = b.doc_id AND h.item_id = b.item_id AND h.off = b.off GROUP BY h.doc_id, h.item_id, h.off),
+has AS (SELECT id AS item_id, count(*) AS has FROM x WHERE side = 'b' GROUP BY 1),
+bad AS (SELECT doc_id, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS items, count(DISTINCT item_id) AS n_items, max(n) AS n_windows
+  FROM c JOIN has USING (item_id) WHERE n >= least({least}, has) AND n > 0 GROUP BY doc_id)
+SELECT doc_id, items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, coalesce(n_windows, 0) AS n_windows
+FROM documents LEFT JOIN bad USING (doc_id)
+"""
+
+
+@register("op9_templates", template_sql())
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    return templates.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    found = templates.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.withColumn("items", F.array_join("items", ","))
 
 
 @register("op10_neighbours")
