@@ -14,7 +14,8 @@ one is left), and at last the classes outside the group's largest component are
 different components that passes the estimate stays unconfirmed.
 
 Nulls, empty and blank texts have an empty set, linked with nothing. Fewer words than a shingle count as one shingle.
-Ids must be unique; equal texts are one class. Columns of the input other than id and text are not read.
+Ids must be unique; equal texts are one class. A row without an id links with nothing and isn't kept. Columns of the input
+other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -253,4 +254,4 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, lower: bool
     labels = least_labels(found).select(F.col("node").alias("class_id"), "label")
     return members.join(labels, "class_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "class_id").alias("component_id"),
-    ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

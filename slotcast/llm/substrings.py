@@ -14,7 +14,7 @@ A window is repeated if the same words also start earlier (smaller id, or same d
 the input. Content is compared by two independent 64-bit hashes (of anchor and segment or window). A document's repeated
 windows cover the words that are removed.
 
-Null, empty and short texts have no window. Ids must be unique. Columns but id and text are not read.
+Null, empty and short texts have no window. Ids must be unique; a row without an id neither removes nor loses words. Columns but id and text are not read.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """Rows (doc_id, spans): an array of struct(start, size) of the repeated windows, for documents that have any."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     by_anchor = Window.partitionBy("anchor").orderBy("content", "doc_id", "start")
     of_anchor = Window.partitionBy("anchor")
     same = F.coalesce(F.lag("content").over(by_anchor) == F.col("content"), F.lit(False))

@@ -50,3 +50,10 @@ def test_estimate_keeps_pairs_at_the_threshold():
     equal = np.array([int(0.8 * minhash.REGISTERS), int(0.5 * minhash.REGISTERS)])
     greater = (minhash.REGISTERS - equal) // 2
     assert minhash.may_reach(equal, greater, 100.0, np.array([100.0, 100.0]), 0.8).tolist() == [True, False]
+
+
+def test_rows_without_an_id(spark):
+    text = "a b c d e f g h"
+    docs = spark.createDataFrame([(None, text), (3, text), (5, text), (None, "z")], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()}
+    assert (3, 3, True) in got and (5, 3, False) in got and all(not k for i, _, k in got if i is None)

@@ -45,3 +45,9 @@ def test_empty_table(spark):
 
 def test_short_texts_only(spark):
     assert {r["n_removed"] for r in substrings.deduplicated(documents(spark, ["a b c", "a b c", None])).collect()} == {0}
+
+
+def test_rows_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(None, text), (3, text), (5, text)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in substrings.deduplicated(docs).collect()) == [(0, 0), (3, 0), (5, 30)]
