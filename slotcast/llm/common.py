@@ -181,7 +181,10 @@ def only(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
 
 def contracted_labels(edges: DataFrame) -> DataFrame:
     """``least_labels`` of many edges (a < b): first along one edge of each node, then among what is left."""
-    first = least_labels(edges.groupBy("b").agg(F.min("a").alias("a")))
+    kept = least_labels(edges.groupBy("b").agg(F.min("a").alias("a")))
+    # A node that is never a b and no b's least a stands on none of the edges kept; it is labelled by itself.
+    alone = edges.select(F.col("a").alias("node")).distinct().join(lookup(kept.select("node")), "node", "left_anti")
+    first = stored(kept.select("node", "label").union(alone.select("node", F.col("node").alias("label"))))
     count = first.count()
     up = lambda side: lookup(first.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label")), count)
     rest = stored(
