@@ -10,8 +10,10 @@ Equal sets are one class from the start, so copies never meet pairwise. Classes
 group by their least member, which takes as many links as members. A group up to ``block`` classes is settled in one
 task: pairs in order of estimate, skipping those already connected, each confirmed on full sets. A larger group is
 split into blocks by a hash of the id: blocks are settled alone, then the centres of the blocks (again in blocks, until
-one is left), and at last the classes outside the group's largest component are held against every block. No pair of
-different components that passes the estimate stays unconfirmed.
+one is left). At last the classes outside the group's largest component are dealt into blocks of their own, as are the
+others, and every such block is held against itself and every other block, each two blocks in one task: no task holds
+more than about ``block`` classes, however many lie outside. No pair of different components that passes the estimate
+stays unconfirmed.
 
 Nulls, empty and blank texts have an empty set, linked with nothing. Fewer words than a shingle count as one shingle.
 Ids must be unique; equal texts are one class. A row without an id links with nothing and isn't kept. Columns of the input
@@ -131,10 +133,10 @@ def may_reach(equal: np.ndarray, greater: np.ndarray, size_a: float, size_b: np.
     return (slope >= 0) & (np.minimum(size_a, size_b) >= similarity * np.maximum(size_a, size_b) * (1 - 1e-9))
 
 
-def _settle(ids, sizes, sketch, sets, labels, probe, percent: int) -> tuple[list[tuple[int, int]], int]:
+def _settle(ids, sizes, sketch, sets, labels, side, percent: int) -> tuple[list[tuple[int, int]], int]:
     """What confirmed links join, as (least label, label) of the known components ``labels``, and the most central member.
 
-    With ``probe`` only pairs with a probe are looked at. Stars instead of the links themselves keep the graph shallow.
+    With ``side`` only pairs of different sides are looked at. Stars instead of the links themselves keep the graph shallow.
     """
     count = len(ids)
     parent = {x: x for x in labels}
@@ -147,7 +149,7 @@ def _settle(ids, sizes, sketch, sets, labels, probe, percent: int) -> tuple[list
     central = np.zeros(count)
     found = []
     for i in range(count):
-        others = np.arange(i + 1, count) if probe is None or probe[i] else i + 1 + np.flatnonzero(probe[i + 1 :])
+        others = np.arange(i + 1, count) if side is None else i + 1 + np.flatnonzero(side[i + 1 :] != side[i])
         if not len(others):
             continue
         equal = (sketch[others] == sketch[i]).sum(axis=1)
@@ -177,12 +179,35 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(ids), -1)
         sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
         sizes = np.array([len(x) for x in sets], float)
-        probe = table.column("probe").to_numpy(zero_copy_only=False).astype(bool)
-        links, centre = _settle(ids, sizes, sketch, sets, table.column("label").to_pylist(), probe if probe.any() else None, percent)
+        side = table.column("side").to_numpy()
+        links, centre = _settle(ids, sizes, sketch, sets, table.column("label").to_pylist(), side if side.min() < side.max() else None, percent)
         rows = [*links, (centre, None)]
         return pa.table({"cluster": pa.array([key[0].as_py()] * len(rows), pa.int64()), "a": pa.array([r[0] for r in rows], pa.int64()), "b": pa.array([r[1] for r in rows], pa.int64())})
 
-    return members.select("cluster", "block", "doc_id", "label", "probe", "sketch", "elements").groupBy("cluster", "block").applyInArrow(run, "cluster long, a long, b long")
+    return members.select("cluster", "block", "doc_id", "label", "side", "sketch", "elements").groupBy("cluster", "block").applyInArrow(run, "cluster long, a long, b long")
+
+
+def tiles(members: DataFrame, block: int) -> DataFrame:
+    """Copies of the members for each pair of blocks of their cluster that has to be settled, ``block`` naming the pair.
+
+    Classes outside the component ``main`` lie in the first ``outer`` blocks of a cluster, the others in the blocks after
+    them. A pair is needed if its first block is an outer one; ``side`` tells which of the two a member comes from.
+    """
+    outside = F.col("label") != F.col("main")
+    half = lambda rows: F.ceil(F.count(F.when(rows, 1)) * 2 / block).cast("int")
+    counts = members.groupBy("cluster").agg(half(outside).alias("outer"), half(~outside).alias("inner"))
+    own = F.pmod(F.xxhash64("doc_id"), F.when(outside, F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    total = F.col("outer") + F.col("inner")
+    pair = lambda first, second, side: F.struct((first.cast("long") * total + second).alias("block"), F.lit(side).alias("side"))
+    none = F.array().cast("array<int>")
+    ahead = F.when(outside, F.sequence("own", total - 1)).otherwise(none)
+    behind = F.least("own", "outer")
+    behind = F.when(behind > 0, F.sequence(F.lit(0), behind - 1)).otherwise(none)
+    return (
+        members.join(lookup(counts), "cluster").withColumn("own", F.when(outside, own).otherwise(own + F.col("outer")))
+        .withColumn("pair", F.explode(F.concat(F.transform(ahead, lambda x: pair(F.col("own"), x, 0)), F.transform(behind, lambda x: pair(x, F.col("own"), 1)))))
+        .select("cluster", F.col("pair.block").alias("block"), "doc_id", "label", F.col("pair.side").alias("side"), "sketch", "elements")
+    )
 
 
 def _elements(docs: DataFrame, members: DataFrame, n: int, lower: bool) -> DataFrame:
@@ -210,7 +235,7 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int, lower: bool
         .join(only(classes.select("doc_id", "sketch"), groups), "doc_id").join(_elements(docs, groups, n, lower), "doc_id")
         .select("cluster", "doc_id", "blocks", "sketch", "elements")
     )
-    members = stored(members.withColumn("label", F.col("doc_id")).withColumn("probe", F.lit(False)))
+    members = stored(members.withColumn("label", F.col("doc_id")).withColumn("side", F.lit(0)))
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -232,10 +257,7 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int, lower: bool
     labels = least_labels(found).select(F.col("node").alias("doc_id"), F.col("label").alias("component"))
     labelled = large.join(labels, "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
     main = labelled.groupBy("cluster", "label").agg(F.count("*").alias("size")).groupBy("cluster").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
-    labelled = labelled.join(main, "cluster")
-    probes = labelled.where("label <> main").withColumn("probe", F.lit(True)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = dealt(labelled.where("label = main")).unionByName(probes)
-    return found.union(stored(_blocks(held, percent)).where("b is not null").select("a", "b"))
+    return found.union(stored(_blocks(tiles(labelled.join(main, "cluster"), block), percent)).where("b is not null").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, lower: bool = True, block: int = BLOCK) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from helpers import documents, edited, near_components, prose, shingles
+from pyspark.sql import functions as F
 
 from slotcast.llm import minhash
 
@@ -57,3 +58,34 @@ def test_rows_without_an_id(spark):
     docs = spark.createDataFrame([(None, text), (3, text), (5, text), (None, "z")], "doc_id long, text string")
     got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()}
     assert (3, 3, True) in got and (5, 3, False) in got and all(not k for i, _, k in got if i is None)
+
+
+def test_many_classes_outside_the_largest_component(spark, monkeypatch):
+    """Templated texts that share bands but don't link: one group, nearly all of it outside the largest component."""
+    rng = random.Random(3)
+    base = prose(rng, 150, 5000)
+    texts = [" ".join(edited(rng, base, 8)) for _ in range(160)]
+    texts += [" ".join(edited(rng, texts[5 * i].split(), 2)) for i in range(12)]
+    rng.shuffle(texts)
+    held = []
+
+    def spy(members, percent, settle=minhash._blocks):
+        held.append(members.groupBy("cluster", "block").count().agg({"count": "max"}).first()[0])
+        return settle(members, percent)
+
+    monkeypatch.setattr(minhash, "_blocks", spy)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(documents(spark, texts), n=4, percent=80, block=32).collect()}
+    assert got == near_components(dict(enumerate(texts)), 4, 80)
+    assert len(set(got.values())) > 120 and len(held) > 2 and max(held) <= 64
+
+
+def test_every_pair_with_a_class_outside_meets_once(spark):
+    rows = [(i, 7, 1 if i < 50 else i, 1, i % 3) for i in range(90)]
+    dealt = minhash.tiles(spark.createDataFrame(rows, "doc_id long, cluster long, label long, main long, side int").withColumns({"sketch": F.lit(b""), "elements": F.lit(b"")}), 16).collect()
+    seen = {}
+    for block in {r["block"] for r in dealt}:
+        sides = [{r["doc_id"] for r in dealt if r["block"] == block and r["side"] == k} for k in (0, 1)]
+        met = {(min(a, b), max(a, b)) for a in sides[0] for b in sides[1] or sides[0] if a != b}
+        for pair in met:
+            seen[pair] = seen.get(pair, 0) + 1
+    assert set(seen) == {(a, b) for b in range(50, 90) for a in range(b)} and set(seen.values()) == {1}
