@@ -4,11 +4,14 @@ A text's subwords are the runs of 1 to 4 characters inside its words, a blank ma
 hashed to a row of an embedding table; a text is the mean of its subwords' rows, scored by a linear softmax. Table and
 softmax are trained together by stochastic gradient descent in numpy on the driver, on a bounded, documented sample of
 labelled rows (``per_language`` texts of each language by a hash of the id, at most ``languages`` languages, the most
-frequent ones); a fifth of it calibrates the temperature and gives the rejection threshold. Applying needs one small
-table (bucket x language) and no shuffle.
-
-Null texts and texts without a letter get ``und`` with score 0. A text is rejected if it is ``und`` or its calibrated
-probability is below the threshold: half of the score that all but one in a thousand of the calibration texts reach.
+frequent ones); a fifth of it calibrates the temperature and gives the rejection thresholds. Applying needs one small
+table (bucket x 2 per language) and no shuffle.
+
+Null texts and texts without a letter get ``und`` with score 0. A text is rejected if it is ``und``, if its calibrated
+probability is below half of the score that all but one in a thousand of the calibration texts reach, or if its subwords
+are too unusual for the language it is given: their mean log frequency among that language's training texts lies further
+below the median of its calibration texts than ``WIDTH`` times what 99 in 100 calibration texts keep to. The last test
+acts for any number of languages, one included; short texts get more room. Without calibration texts it rejects nothing.
 Rows with a null language don't train. Without any labelled row everything is ``und``. Ties go to the language that
 sorts first. Repeated rows are scored alike; columns other than key and text are not read when scoring.
 """
@@ -27,6 +30,8 @@ BITS, SIZE, SEED = 16, 16, 7
 LENGTHS = (1, 2, 3, 4)
 PIECE = 1 << 18  # characters turned into arrays at a time
 UNKNOWN = "und"
+# Share of a language's subwords taken as spread over all buckets; distance allowed, in 99% quantiles and at least in nats.
+UNSEEN, WIDTH, LEAST_WIDTH = 0.05, 2.0, 0.5
 
 
 def _letters() -> np.ndarray:
@@ -81,17 +86,21 @@ def bag(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Bucket scores per language, the temperature and the rejection threshold."""
+    """Bucket scores and log frequencies per language, the temperature and the rejection thresholds.
+
+    ``usual`` is the median of a language's mean log frequencies, ``width`` how far below it a long text may lie.
+    """
 
-    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, threshold: float):
+    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, threshold: float, usual: np.ndarray, width: float = np.inf):
         self.languages, self.table, self.bias = languages, table, bias
         self.temperature, self.threshold = temperature, threshold
+        self.usual, self.width = usual, width
 
-    def score(self, texts: list[str | None], letters: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """Language and calibrated probability of each text; long texts are summed piece by piece."""
-        names, probabilities = [], np.zeros(len(texts))
+    def score(self, texts: list[str | None], letters: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, calibrated probability and rejection of each text; long texts are summed piece by piece."""
+        names, probabilities, rejected = [], np.zeros(len(texts)), np.ones(len(texts), bool)
         for at, text in enumerate(texts):
-            total, count, any_letter = np.zeros(len(self.languages)), 0, False
+            total, count, any_letter = np.zeros(self.table.shape[1]), 0, False
             for piece in _pieces(_codes(text or ""), letters):
                 any_letter = any_letter or bool((piece != 32).any())
                 buckets = subwords(piece)
@@ -100,20 +109,28 @@ class Model:
             if not any_letter or not self.languages:
                 names.append(UNKNOWN)
                 continue
-            logits = (total / max(count, 1) + self.bias) / self.temperature
+            scores, frequency = np.split(total / max(count, 1), 2)
+            logits = (scores + self.bias) / self.temperature
             p = np.exp(logits - logits.max())
             p /= p.sum()
             best = int(p.argmax())
             names.append(self.languages[best])
             probabilities[at] = min(1.0, round(float(p[best]), 6))
-        return names, probabilities
+            rejected[at] = probabilities[at] < self.threshold or self.usual[best] - frequency[best] > self.width * room(count)
+        return names, probabilities, rejected
+
+
+def room(count: np.ndarray | int) -> np.ndarray:
+    """Factor of the distance allowed to a text of so many subwords."""
+    return 1 + 4 / np.sqrt(np.maximum(count, 1))
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], rounds: int = 12, rate: float = 0.5) -> Model:
     """Fits a model on (buckets, counts) of each text; every fifth text calibrates it."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.0)
+        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.0, np.zeros(0))
+    lengths = np.array([counts.sum() for _, counts in bags])
     bags = [(ids, counts / max(counts.sum(), 1)) for ids, counts in bags]
     target = np.array([languages.index(x) for x in labels])
     usable = np.array([len(b[0]) > 0 for b in bags], bool)
@@ -138,8 +155,17 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], rounds:
             bias -= rate / np.sqrt(w_squares) * p * 0.1
             embed[ids] -= (rate / np.sqrt(squares[ids]) * share)[:, None] * back[None, :] * 0.2
     table = embed @ weight
-    model = Model(languages, table, bias, 1.0, 0.0)
+    often = np.zeros((1 << BITS, len(languages)))
+    for i in fit:
+        often[bags[i][0], target[i]] += bags[i][1]
+    often = np.log((1 - UNSEEN) * often / np.maximum(often.sum(axis=0), 1) + UNSEEN / (1 << BITS))
+    typical = np.array([bags[i][1] @ often[bags[i][0], target[i]] for i in range(len(bags))])
+    # A language without a calibration text is held to the texts it was fitted on.
+    usual = np.array([np.median(typical[own if len(own) else fit[target[fit] == k]]) if len(own) or (target[fit] == k).any() else -np.inf for k, own in ((k, check[target[check] == k]) for k in range(len(languages)))])
+    model = Model(languages, np.hstack((table, often)), bias, 1.0, 0.0, usual)
     if len(check):
+        below = (usual[target[check]] - typical[check]) / room(lengths[check])
+        model.width = max(WIDTH * float(np.quantile(below, 0.99)), LEAST_WIDTH)
         z = np.array([bags[i][1] @ table[bags[i][0]] + bias for i in check])
         z -= z.max(axis=1, keepdims=True)
         best = None
@@ -186,13 +212,12 @@ def fit(docs: DataFrame, key: str = "doc_id", per_language: int = 500, languages
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """Rows (key, lang_pred, score, rejected) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages, both bounded by parameters
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x 2 per language, both bounded by parameters
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = per_worker("letters", _letters)
         for batch in batches:
-            names, scores = shared.value.score(batch.column(1).to_pylist(), letters)
-            rejected = [n == UNKNOWN or s < shared.value.threshold for n, s in zip(names, scores.tolist())]
+            names, scores, rejected = shared.value.score(batch.column(1).to_pylist(), letters)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected, pa.bool_())], names=[key, "lang_pred", "score", "rejected"])
 
     rows = docs.select(key, "text")

@@ -4,6 +4,7 @@ import zlib
 
 import pytest
 from helpers import documents
+from pyspark.sql import functions as F
 
 from slotcast.llm import language, toxicity
 from slotcast.llm.queries import QUERIES
@@ -47,6 +48,22 @@ def test_language_of_odd_texts(spark):
     assert got[6]["lang_pred"] in ("de", "en")
 
 
+@pytest.mark.parametrize("learned", [("en",), ("de", "en"), ("de", "en", "es")])
+def test_unlearned_languages_and_gibberish_are_rejected(spark, learned):
+    import random
+
+    rng = random.Random(4)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and length(text) > 200").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(F.col("lang").isin(*learned) & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2)))
+    held = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    rejected = lambda rows: [r["rejected"] for r in language.predict(rows, model).collect()]
+    own, foreign = rejected(held.where(F.col("lang").isin(*learned))), rejected(docs.where("lang = 'fr'"))
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(20)) for _ in range(50)]
+    assert sum(own) <= 0.02 * len(own)
+    assert sum(foreign) >= 0.9 * len(foreign) and sum(rejected(documents(spark, noise))) == 50
+    print("rejected", learned, sum(own), len(own), sum(foreign), len(foreign))
+
+
 def test_without_training_rows(spark):
     docs = documents(spark, ["some text", None])
     model = language.fit(docs.where("lang is null"))
