@@ -38,11 +38,11 @@ def per_worker(key, make):
     return kept[key]
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options) -> DataFrame:
     """Writes a table to the folder that all executors share and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -119,6 +119,11 @@ class WordHasher:
 
         Rows must not run into each other: a row's last and the next row's first word count apart.
         """
+        h, at = self.words_at(data, offsets)
+        return h, np.searchsorted(at, offsets, "left")
+
+    def words_at(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes of all rows, and the places of the words' first bytes."""
         low, high = int(offsets[0]), int(offsets[-1])
         hashes, places = [], []
         cut = low
@@ -148,7 +153,7 @@ class WordHasher:
             cut = end
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         at = np.concatenate(places) if places else np.zeros(0, np.int64)
-        return h, np.searchsorted(at, offsets, "left")
+        return h, at
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, minhash, neighbours, pages, pieces, secrets, substrings, templates, toxicity, urls
+from . import language, minhash, neighbours, packing, pages, phrases, pieces, ranking, secrets, substrings, templates, toxicity, urls
 from .common import read
 from .register import ORACLES, QUERIES, register  # noqa: F401
 
@@ -142,3 +142,58 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     table = read(spark, folder, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(table, table.where("vec_id % 50 = 0").select(F.col("vec_id").alias("id")), k=5)
+
+
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+RANK_SQL = rf"""
+WITH split AS (SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(text, {LETTERS}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+  UNION ALL SELECT 'b', item_id, regexp_extract_all(translate(text, {LETTERS}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') FROM benchmark),
+tf AS (SELECT side, id, term, count(*) AS tf FROM (SELECT side, id, unnest(terms) AS term FROM split) GROUP BY ALL),
+n AS (SELECT id, sum(tf)::BIGINT AS n FROM tf WHERE side = 'd' GROUP BY id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+m AS (SELECT id, 100 - 90 + ((90 * n * docs) // total) AS m FROM n, c),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf WHERE side = 'd' GROUP BY term), c),
+s AS (SELECT b.id AS item_id, d.id AS doc_id, sum(w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m)))::BIGINT AS score
+  FROM tf d JOIN tf b ON d.side = 'd' AND b.side = 'b' AND d.term = b.term JOIN w ON w.term = d.term JOIN m ON m.id = d.id GROUP BY b.id, d.id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@register("op11_ranking", RANK_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.ranked(read(spark, folder, "documents"), read(spark, folder, "benchmark"), k=10)
+
+
+@register("op12_packing")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    found = packing.packed(read(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), pattern=public_tokenizers.PATTERN)
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+PHRASE_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, {LETTERS}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, [x for x in regexp_split_to_array(piece, '[\x20\x09]+') if x <> ''] AS words FROM p),
+x AS (SELECT lang, words, unnest(range(1, 5)) AS k FROM w),
+y AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM x WHERE len(words) >= k),
+f AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM y GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND f >= 30),
+cut AS (SELECT *, unnest(range(1, k)) AS pos FROM c),
+s AS (SELECT cut.*, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * a) // (l.f + r.f) AS BIGINT) AS score FROM cut
+  JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(words[1:pos], ' ') JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(words[pos + 1:cut.k], ' ')),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, pos) = 1),
+sub AS (SELECT lang, a, words, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2)),
+held AS (SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM sub GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN held USING (lang, phrase) WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * low.a::HUGEINT),
+r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN t USING (lang))
+SELECT * FROM r WHERE rank <= 2000
+"""
+
+
+@register("op13_phrases", PHRASE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"), top=2000)
