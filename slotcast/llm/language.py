@@ -131,7 +131,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], rounds:
     if not languages:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.0, np.zeros(0))
     lengths = np.array([counts.sum() for _, counts in bags])
-    bags = [(ids, counts / max(counts.sum(), 1)) for ids, counts in bags]
+    share_of = lambda i: bags[i][1] / max(lengths[i], 1)  # noqa: E731  made when needed: a table of doubles for all bags is several times their size
     target = np.array([languages.index(x) for x in labels])
     usable = np.array([len(b[0]) > 0 for b in bags], bool)
     held = np.arange(len(bags)) % 5 == 4
@@ -142,7 +142,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], rounds:
     squares, w_squares = np.full(1 << BITS, 1e-8), 1e-8
     for _ in range(rounds):
         for i in rng.permutation(fit):
-            ids, share = bags[i]
+            ids, share = bags[i][0], share_of(i)
             mean = share @ embed[ids]
             z = mean @ weight + bias
             p = np.exp(z - z.max())
@@ -157,16 +157,16 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], rounds:
     table = embed @ weight
     often = np.zeros((1 << BITS, len(languages)))
     for i in fit:
-        often[bags[i][0], target[i]] += bags[i][1]
+        often[bags[i][0], target[i]] += share_of(i)
     often = np.log((1 - UNSEEN) * often / np.maximum(often.sum(axis=0), 1) + UNSEEN / (1 << BITS))
-    typical = np.array([bags[i][1] @ often[bags[i][0], target[i]] for i in range(len(bags))])
+    typical = np.array([share_of(i) @ often[bags[i][0], target[i]] for i in range(len(bags))])
     # A language without a calibration text is held to the texts it was fitted on.
     usual = np.array([np.median(typical[own if len(own) else fit[target[fit] == k]]) if len(own) or (target[fit] == k).any() else -np.inf for k, own in ((k, check[target[check] == k]) for k in range(len(languages)))])
     model = Model(languages, np.hstack((table, often)), bias, 1.0, 0.0, usual)
     if len(check):
         below = (usual[target[check]] - typical[check]) / room(lengths[check])
         model.width = max(WIDTH * float(np.quantile(below, 0.99)), LEAST_WIDTH)
-        z = np.array([bags[i][1] @ table[bags[i][0]] + bias for i in check])
+        z = np.array([share_of(i) @ table[bags[i][0]] + bias for i in check])
         z -= z.max(axis=1, keepdims=True)
         best = None
         for t in np.geomspace(0.05, 20, 60):
@@ -195,18 +195,20 @@ def fit(docs: DataFrame, key: str = "doc_id", per_language: int = 500, languages
         letters = per_worker("letters", _letters)
         for batch in batches:
             bags = [bag(t, letters) for t in batch.column(3).to_pylist()]
-            lists = [pa.array([b[k] for b in bags], pa.list_(pa.int64())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["lang", "place", "id", "ids", "counts"])
+            packed = [pa.array([b[k].astype("<i4").tobytes() for b in bags], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *packed], names=["lang", "place", "id", "ids", "counts"])
 
-    found = chosen.mapInArrow(bagged, "lang string, place long, id string, ids array<long>, counts array<long>").collect()
-    found.sort(key=lambda r: (r["place"], r["id"]))
+    # Bags stay in Arrow buffers; the arrays below are views of them.
+    found = chosen.mapInArrow(bagged, "lang string, place long, id string, ids binary, counts binary").toArrow()
+    found = found.sort_by([("place", "ascending"), ("id", "ascending")])
     seen: dict[str, int] = {}
     bags, labels = [], []
-    for r in found:
-        if seen.setdefault(r["lang"], 0) < per_language:
-            seen[r["lang"]] += 1
-            bags.append((np.array(r["ids"], np.int64), np.array(r["counts"], np.int64)))
-            labels.append(r["lang"])
+    for name, ids, counts in zip(found["lang"].to_pylist(), found["ids"], found["counts"]):
+        if seen.setdefault(name, 0) < per_language:
+            seen[name] += 1
+            bags.append(tuple(np.frombuffer(x.as_buffer(), "<i4") for x in (ids, counts)))
+            labels.append(name)
+    del found
     return train(bags, labels)
 
 
