@@ -6,9 +6,11 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from slotcast.operators.autoreg import ArxSpec, adf_test, arx_fit, arx_forecast, arx_residuals
+from slotcast.operators.css import CssModel, css_fit, css_forecast, css_residuals
 from slotcast.operators.folds import bounds_list
 from slotcast.operators.linear import align_predictions, score_windows, walk_forward_cv
 from slotcast.operators.scaling import fit_scaler, scale_train
+from slotcast.operators.refit import Huber, refit_per_fold
 from slotcast.operators.slices import holdout_tail
 from slotcast.plans.forecast import classical_forecast, forecast_prepared, holdout_eval
 from slotcast.plans.prepare import prepare
@@ -17,7 +19,7 @@ from slotcast.sources.sampletables import (
     PANEL_ORDER, event_series, market_imbalances, market_test, market_train, panel,
 )
 
-from . import q, register
+from . import ORACLES, q, register
 from .samples import EVENTS, MARKET, PANEL, TEST, TRAIN
 from .windows import BOUNDS_DAYS, EW, PKEYS, PW
 
@@ -58,12 +60,13 @@ def _(spark, sf):
     return arx_fit(far, AR1, "value", **PSERIES).coefficients().filter("term = 'ar_1'")
 
 
-@register("arx_forecast_exog", f"""WITH {PANEL}, i AS (SELECT *, row_number() OVER {PW}) AS pos, count(*) OVER (PARTITION BY series) AS n FROM panel),
-d AS (SELECT series, value - lag(value) OVER {PW}) AS dy, (quantity - lag(quantity) OVER {PW}))::DOUBLE AS dx FROM i WHERE n - pos >= 24),
-fit AS (SELECT series, regr_slope(dy, dx) AS b, regr_intercept(dy, dx) AS c FROM d GROUP BY 1),
-last AS (SELECT series, value AS y, quantity AS x FROM i WHERE n - pos = 24)
-SELECT i.series, {q('i.value', 'actual', 2)}, i.l_orderkey, i.l_linenumber, i.l_partkey, {q('y + b * (i.quantity - x) + c * (24 - (n - pos))', 'predicted', 2)}
-FROM i JOIN fit ON i.series = fit.series JOIN last ON i.series = last.series WHERE n - pos < 24""", digits=2)
+@register("arx_forecast_exog", f"""WITH {PANEL}, i AS MATERIALIZED (SELECT *, row_number() OVER {PW}) AS pos, count(*) OVER (PARTITION BY series) AS n FROM panel),
+d AS (SELECT series, value - lag(value) OVER (PARTITION BY series ORDER BY pos) AS dy, (quantity - lag(quantity) OVER (PARTITION BY series ORDER BY pos))::DOUBLE AS dx FROM i WHERE n - pos >= 24),
+fit AS MATERIALIZED (SELECT series, regr_slope(dy, dx) AS b, regr_intercept(dy, dx) AS c FROM d GROUP BY 1),
+last AS MATERIALIZED (SELECT series, value AS y, quantity AS x FROM i WHERE n - pos = 24),
+tail AS MATERIALIZED (SELECT * FROM i WHERE n - pos < 24)
+SELECT tail.series, {q('tail.value', 'actual', 2)}, tail.l_orderkey, tail.l_linenumber, tail.l_partkey, {q('y + b * (tail.quantity - x) + c * (24 - (n - pos))', 'predicted', 2)}
+FROM tail JOIN fit ON tail.series = fit.series JOIN last ON tail.series = last.series""", digits=2)
 def _(spark, sf):
     roles = holdout_tail(panel(spark, sf), 24, None, **PSERIES)
     past, ahead = (roles.filter(F.col("role") == r).drop("role") for r in ("fit", "val"))
@@ -108,6 +111,80 @@ def _(spark, sf):
     return out.select("series", "date", "l_orderkey", "l_linenumber", "l_partkey", "actual", "predicted")
 
 
+# --- conditional sum of squares -----------------------------------------------------
+MEAN_FORM = """SELECT series, 'mean' AS term, {mean} FROM fit UNION ALL SELECT series, 'ar_1', {ar} FROM fit"""
+
+
+def _mean_form(digits):
+    return MEAN_FORM.format(mean=q("c / (1 - phi)", "value", digits), ar=q("phi", "value", digits))
+
+
+# Without a moving average the least sum of squared shocks is that of the regression on the row before.
+@register("css_fit", f"""WITH {PANEL}, l AS (SELECT series, value, lag(value) OVER {PW}) AS l FROM panel), {AR1_FIT.format(t='l')} {_mean_form(2)}""", digits=2)
+def _(spark, sf):
+    return css_fit(panel(spark, sf), AR1, "value", **PSERIES).coefficients()
+
+
+@register("css_fit_long", f"""WITH {EVENTS}, l AS (SELECT series, value, lag(value) OVER {EW}) AS l FROM es), {AR1_FIT.format(t='l')} {_mean_form(4)}""")
+def _(spark, sf):
+    return css_fit(event_series(spark, sf), AR1, "value", chunk_rows=512, **ESERIES).coefficients()
+
+
+@register("css_arma", digits=3)
+def _(spark, sf):
+    return css_fit(panel(spark, sf), ArxSpec(p=1, q=1), "value", **PSERIES).coefficients()
+
+
+@register("css_arma_long", digits=3)
+def _(spark, sf):
+    return css_fit(event_series(spark, sf), ArxSpec(p=0, q=2), "value", chunk_rows=512, **ESERIES).coefficients()
+
+
+@register("css_armax", digits=3)
+def _(spark, sf):
+    return css_fit(panel(spark, sf), ArxSpec(p=1, q=1, exog=("quantity",)), "value", **PSERIES).coefficients()
+
+
+@register("css_sarima", digits=3)
+def _(spark, sf):
+    hourly = event_series(spark, sf)
+    return css_fit(hourly, ArxSpec(p=1, q=1, P=1, D=1, Q=1, m=24, intercept=False), "value", **ESERIES).coefficients()
+
+
+# Shocks and forecasts of given parameters: SQL runs the recurrence one row after another.
+GIVEN = ArxSpec(p=1, d=1, q=1, intercept=False)
+PHI, THETA = 0.4, 0.3
+WALKED = f"""{PANEL}, i AS (SELECT *, row_number() OVER {PW}) AS pos, count(*) OVER (PARTITION BY series) AS n, value - lag(value) OVER {PW}) AS z FROM panel),
+past AS (SELECT *, z - {PHI} * lag(z) OVER {PW}) AS r FROM i WHERE n - pos >= {{held}}),
+walk AS (SELECT series, pos, r AS e FROM past WHERE pos = 3
+  UNION ALL SELECT p.series, p.pos, p.r - {THETA} * w.e FROM walk w JOIN past p ON p.series = w.series AND p.pos = w.pos + 1)"""
+
+
+def _given(df):
+    beta = df.select("series").distinct().select("series", F.array(F.lit(PHI), F.lit(THETA)).alias("beta"), F.lit(0).cast("long").alias("nobs"), F.lit(0.0).alias("sigma2"))
+    return CssModel(GIVEN, ("series",), PANEL_ORDER, "value", beta, beta.count())
+
+
+@register("css_residuals", f"""WITH RECURSIVE {WALKED.format(held=0)}
+SELECT {', '.join('p.' + k.strip() for k in PKEYS.split(','))}, {q('p.value', 'value', 2)}, {q('p.value - w.e', 'fitted', 2)}, {q('w.e', 'residual', 2)}
+FROM past p LEFT JOIN walk w ON p.series = w.series AND p.pos = w.pos""", digits=2)
+def _(spark, sf):
+    df = panel(spark, sf).drop("quantity")
+    return css_residuals(df, _given(df), chunk_rows=200)
+
+
+@register("css_forecast", f"""WITH RECURSIVE {WALKED.format(held=24)},
+last AS (SELECT p.series, p.value AS y, {PHI} * p.z + {THETA} * w.e AS z1 FROM past p JOIN walk w ON p.series = w.series AND p.pos = w.pos WHERE n - p.pos = 24)
+SELECT {', '.join('i.' + k.strip() for k in PKEYS.split(','))}, {q('i.value', 'actual', 2)},
+  {q(f'y + z1 * (1 - {PHI} ** (24 - (n - pos))) / (1 - {PHI})', 'predicted', 2)}
+FROM i JOIN last ON i.series = last.series WHERE n - pos < 24""", digits=2)
+def _(spark, sf):
+    roles = holdout_tail(panel(spark, sf).drop("quantity"), 24, None, **PSERIES)
+    past, ahead = (roles.filter(F.col("role") == r).drop("role") for r in ("fit", "val"))
+    out = css_forecast(past, ahead.withColumn("actual", F.col("value")), _given(past), chunk_rows=200, steps=10)
+    return out.select("series", "date", "l_orderkey", "l_linenumber", "l_partkey", "actual", "predicted")
+
+
 @register("holdout_eval", f"""WITH {EVENTS}, i AS (SELECT *, row_number() OVER {EW}) AS pos, count(*) OVER (PARTITION BY series) AS n,
   lag(value) OVER {EW}) AS l FROM es),
 past AS (SELECT * FROM i WHERE n - pos >= 48), {AR1_FIT.format(t='past')},
@@ -121,7 +198,7 @@ def _(spark, sf):
     return holdout_eval(event_series(spark, sf), AR1, "value", 48, None, **ESERIES)[1]
 
 
-def _scaled_market(spark, sf):
+def scaled_market(spark, sf):
     train = market_train(spark, sf)
     stats = fit_scaler(train, ("load",))
     return scale_train(train, stats, ("load",)), stats
@@ -146,10 +223,23 @@ SELECT fold AS fold_id, train_start, train_end, val_start, val_end, train_rows,
   {q('val_loss')}, {q('val_mae')}, {q('val_rmse')}, {q('val_r2')}, {q('val_loss - train_loss', 'overfit_gap')}
 FROM ok JOIN tl ON ok.fold_id = tl.fold_id JOIN vm ON ok.fold_id = vm.fold_id""")
 def _(spark, sf):
-    scaled, stats = _scaled_market(spark, sf)
+    scaled, stats = scaled_market(spark, sf)
     return walk_forward_cv(scaled, bounds_list(scaled, days=4), ("load",), stats=stats, penalty=0.0)
 
 
+# Errors far below ``delta`` make the reweighted fit the least-squares one, which SQL can give.
+@register("refit_per_fold", f"""SELECT *, 2 AS iterations FROM ({{}})""".format(ORACLES["walk_forward_cv_single"]))
+def _(spark, sf):
+    scaled, stats = scaled_market(spark, sf)
+    return refit_per_fold(scaled, bounds_list(scaled, days=4), ("load",), model=Huber(delta=1e6), stats=stats)
+
+
+@register("refit_robust", digits=3)
+def _(spark, sf):
+    scaled, stats = scaled_market(spark, sf)
+    return refit_per_fold(scaled, bounds_list(scaled, days=4), ("load",), model=Huber(delta=0.5), stats=stats)
+
+
 def _prepared(spark, sf):
     return prepare(market_train(spark, sf), market_imbalances(spark, sf), market_test(spark, sf))
 

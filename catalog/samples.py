@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from slotcast.operators.grid import merge_imbalances, regular_grid, sort_by_date
 from slotcast.operators.quality import data_summary
 from slotcast.operators.scaling import fit_scaler, scale_test, scale_train
 from slotcast.plans.prepare import step1_features
 from slotcast.schema import CORE, DOMAIN, SCALED_STEP1, TEMPORAL
-from slotcast.sources.market import load_prepared as read_vectors, load_test as read_test_vectors
+from slotcast.session import ensure_checkpoint_dir
+from slotcast.sources.market import load_market, load_market_checked, load_prepared as read_vectors, load_test as read_test_vectors
 from slotcast.sources.sampletables import event_series, market, market_imbalances, market_test, market_train, panel
 from slotcast.sources.sinks import submission
 from pyspark.sql import functions as F
@@ -65,9 +68,43 @@ def step1_sql(source: str) -> str:
     return f"SELECT *, {PARTS}, {waves}, {domain} FROM {source}"
 
 
+def _written(spark, sf, spoil=lambda df: df) -> str:
+    """The market tables as CSV files in the shared folder."""
+    folder = f"{ensure_checkpoint_dir(spark)}/market-{uuid.uuid4().hex}"
+    sample = market_test(spark, sf).select("ID", F.lit(0.5).alias("forecast"))
+    for name, df in (("train", market_train(spark, sf)), ("imbalances", market_imbalances(spark, sf)), ("test", market_test(spark, sf)), ("sample", sample)):
+        # wind in scientific notation and columns out of order are read as well
+        text = df.select(*[F.col(c).cast("string").alias(c) for c in reversed(df.columns)])
+        (spoil(text) if name == "train" else text).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return folder
+
+
 @register("load_market", f"WITH {TRAIN} SELECT date, {qs(['wind', 'solar', 'load', 'spread'])} FROM train")
 def _(spark, sf):
-    return market_train(spark, sf)
+    return load_market(spark, _written(spark, sf))["train"]
+
+
+def _spoiled(df):
+    """Some dates that are none, some words for numbers, some missing keys and values."""
+    hour, minute = F.substring("date", 12, 2), F.substring("date", 15, 2)
+    return df.withColumns({
+        "wind": F.when(hour == "04", F.lit("calm")).when(hour == "05", F.lit("NaN")).otherwise(F.col("wind")),
+        "load": F.when(hour == "06", F.lit(None)).when((hour == "04") & (minute == "15"), F.lit("1,5")).otherwise(F.col("load")),
+        "date": F.when((hour == "07") & (minute == "30"), F.lit("2024-13-45")).when(hour == "08", F.lit(None)).otherwise(F.col("date")),
+    })
+
+
+@register("load_market_rejected", f"""WITH {TRAIN}
+SELECT 'train' AS source, 'wind' AS column, 'calm' AS value, 'double' AS reason, count(*) AS rows FROM train WHERE hour(date) = 4 HAVING count(*) > 0
+UNION ALL SELECT 'train', 'load', '1,5', 'double', count(*) FROM train WHERE hour(date) = 4 AND minute(date) = 15 HAVING count(*) > 0
+UNION ALL SELECT 'train', 'date', '2024-13-45', 'timestamp_ntz', count(*) FROM train WHERE hour(date) = 7 AND minute(date) = 30 HAVING count(*) > 0
+UNION ALL SELECT 'train', 'date', NULL, 'missing', count(*) FROM train WHERE hour(date) = 8 HAVING count(*) > 0
+UNION ALL SELECT 'kept', NULL, NULL, NULL, count(*) FROM train WHERE hour(date) NOT IN (4, 8) AND NOT (hour(date) = 7 AND minute(date) = 30)""")
+def _(spark, sf):
+    tables, faults = load_market_checked(spark, _written(spark, sf, _spoiled))
+    none = [F.lit(None).cast("string").alias(c) for c in ("column", "value", "reason")]
+    kept = tables["train"].select(F.lit("kept").alias("source"), *none)
+    return faults.unionByName(kept).groupBy("source", "column", "value", "reason").agg(F.count("*").alias("rows"))
 
 
 @register("load_market_test", f"""WITH {MARKET}, {TEST}

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import uuid
 
+from slotcast.operators.folds import bounds_list
 from slotcast.operators.history import overfit_gap
+from slotcast.operators.linear import walk_forward_cv
 from slotcast.operators.scaling import fit_scaler
 from slotcast.schema import SCALED_STEP1
 from slotcast.session import ensure_checkpoint_dir
 from slotcast.sources.sampletables import history, market_test
 from slotcast.sources.sinks import (
-    load_scaler, read_prepared, save_state, write_history, write_prepared, write_submission,
+    load_scaler, read_prepared, read_versioned, save_state, write_cv, write_history, write_prepared, write_submission,
 )
 from pyspark.sql import functions as F
 
 from . import ORACLES, q, qs, register
 from .features import SCALED_SHOWN
+from .forecasts import scaled_market
 from .samples import MARKET, STEP1_CTE, STEP1_SCALED, TEST, step1_scaled, step1_tables
 
 
@@ -43,7 +46,18 @@ def _(spark, sf):
 def _(spark, sf):
     path = fresh(spark, "history")
     write_history(overfit_gap(history(spark, sf)), path)
-    return spark.read.parquet(path)
+    return read_versioned(spark, path)
+
+
+@register("write_cv", digits=4)
+def _(spark, sf):
+    path = fresh(spark, "cv")
+    scaled, stats = scaled_market(spark, sf)
+    folds = walk_forward_cv(scaled, bounds_list(scaled, days=4), ("load",), stats=stats, penalty=0.0)
+    folds = folds.withColumn("best_epoch", F.lit(1))  # solved in one pass
+    write_cv(folds.limit(1), path)
+    write_cv(folds, path)  # readers follow the pointer to the later version
+    return read_versioned(spark, path)
 
 
 @register("save_state", f"""WITH {STEP1_CTE} {' UNION ALL '.join(
@@ -59,3 +73,5 @@ def _(spark, sf):
 from . import models  # noqa: E402,F401
 
 ORACLES["write_history"] = ORACLES["overfit_gap"]
+ORACLES["write_cv"] = f"""SELECT fold_id, train_start, train_end, val_start, val_end, train_rows, val_rows, 1::INTEGER AS best_epoch,
+  val_mae, val_rmse, val_r2, overfit_gap FROM ({ORACLES["walk_forward_cv_single"]})"""

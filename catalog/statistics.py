@@ -51,6 +51,12 @@ def _(spark, sf):
     return target_stats(panel(spark, sf), "value", ("series",))
 
 
+# Every series counts as large here: all are narrowed together.
+@register("target_stats_series_large", f"WITH {PANEL} SELECT series, {_stats_sql('value')} FROM panel GROUP BY series")
+def _(spark, sf):
+    return target_stats(panel(spark, sf), "value", ("series",), small=50)
+
+
 ACF_LAGS = (1, 2, 4, 8, 48, 96, 192)
 
 

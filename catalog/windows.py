@@ -12,6 +12,7 @@ from slotcast.operators.slices import (
 from slotcast.operators.timeline import plan_layout
 from slotcast.operators.windows import (
     difference, fill_lags, lag_and_roll, lag_features, rolling_features, row_index, sequence_windows, undifference,
+    undifference_all,
 )
 from slotcast.plans.prepare import featured
 from slotcast.sources.sampletables import PANEL_ORDER, event_series, market_imbalances, market_test, market_train, panel
@@ -347,6 +348,36 @@ def _(spark, sf):
     return undifference(diffed, "spread_diff_96", "spread", 96).drop("spread_diff_96")
 
 
+def _running(c: str, m: int, by: str = "") -> str:
+    """(1 - L)(1 - L^m) undone by running sums of seeds and differences; ``i`` has 0-based ``pos``, the level and ``w``, ``z``."""
+    part = f"PARTITION BY {by}, " if by else "PARTITION BY "
+    whole = f"PARTITION BY {by} " if by else ""
+    return f"""u AS (SELECT *, sum(CASE WHEN pos BETWEEN 1 AND {m} THEN w WHEN pos > {m} THEN z END) OVER ({part}pos % {m} ORDER BY pos) AS back FROM i)
+SELECT {{}}, {q(f'sum(CASE WHEN pos = 0 THEN {c} ELSE back END) OVER ({whole}ORDER BY pos)', 'restored', 2)} FROM u"""
+
+
+def _twice_differenced(df, column, m, by=(), order=("date",)):
+    """The differences of both kinds, and the level in the first rows only."""
+    kw = dict(series=by, order=order)
+    both = difference(difference(df, column, 1, name="w1", **kw), "w1", m, name="diff", **kw).drop("w1")
+    placed = row_index(both, by, order, name="at_row")
+    return placed.withColumn("level", F.when(F.col("at_row") <= m, F.col(column))).drop("at_row")
+
+
+@register("undifference_all", f"""WITH {TRAIN}, j AS (SELECT date, spread, row_number() OVER (ORDER BY date) - 1 AS pos, spread - lag(spread) OVER (ORDER BY date) AS w FROM train),
+i AS (SELECT *, w - lag(w, 96) OVER (ORDER BY date) AS z FROM j), {_running('spread', 96).format('date')}""", digits=2)
+def _(spark, sf):
+    rows = _twice_differenced(market_train(spark, sf).select("date", "spread"), "spread", 96)
+    return undifference_all(rows, "diff", "level", d=1, D=1, m=96, chunk_rows=500).select("date", "restored")
+
+
+@register("undifference_all_panel", f"""WITH {PANEL}, j AS (SELECT *, row_number() OVER {PW}) - 1 AS pos, value - lag(value) OVER {PW}) AS w FROM panel),
+i AS (SELECT *, w - lag(w, 7) OVER {PW}) AS z FROM j), {_running('value', 7, 'series').format(PKEYS)}""", digits=2)
+def _(spark, sf):
+    rows = _twice_differenced(panel(spark, sf).drop("quantity"), "value", 7, ("series",), PANEL_ORDER)
+    return undifference_all(rows, "diff", "level", d=1, D=1, m=7, series=("series",), order=PANEL_ORDER).select("series", *PANEL_ORDER[:-1], "restored")
+
+
 # --- the whole feature table --------------------------------------------------
 FEATURED = f"""f1 AS ({step1_sql('merged')}), l1 AS (SELECT *,
   {', '.join(f'lag({c}, {k}) OVER (ORDER BY date) AS {c}_lag_{k}' for c in ('wind', 'solar', 'load', 'net_load', 'spread') for k in (1, 4, 96))} FROM f1)"""

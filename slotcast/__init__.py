@@ -15,6 +15,7 @@ from .operators.autoreg import ArxModel, ArxSpec, adf_test, arx_fit, arx_forecas
 from .operators.calibrate import (
     Calibrator, calibrate_apply, calibrate_fit, calibration_summary, sigmoid_temperature,
 )
+from .operators.css import CssModel, css_fit, css_forecast, css_residuals
 from .operators.evaluate import (
     cv_summary, directional_accuracy, error_metrics, fold_bars, prediction_bounds, probability_summary, residuals,
 )
@@ -25,6 +26,7 @@ from .operators.history import best_epoch, early_stop_select, overfit_gap
 from .operators.linear import LinearModel, align_predictions, fit_ridge, score_windows, walk_forward_cv
 from .operators.quality import data_summary, first_gaps, interval_gaps, interval_report
 from .operators.quantiles import exact_quantiles, quantile_table
+from .operators.refit import Huber, SignLogit, refit_per_fold
 from .operators.regimes import (
     Regimes, assign_regimes, fit_regimes, kmeans_elbow, regime_counts, regime_number, regime_scatter, regime_summary,
 )
@@ -41,12 +43,13 @@ from .operators.stats import (
 from .operators.timeline import Layout, Timeline, open_timeline, plan_layout
 from .operators.windows import (
     difference, fill_lags, lag_and_roll, lag_features, rolling_features, row_index, sequence_windows, undifference,
+    undifference_all,
 )
 from .plans.forecast import classical_forecast, forecast_prepared, holdout_eval
 from .plans.prepare import Prepared, featured, prepare, step1_features
 from .session import configure, ensure_checkpoint_dir, local_session
-from .sources.market import load_market, load_prepared, load_test
+from .sources.market import load_market, load_market_checked, load_prepared, load_test
 from .sources.sinks import (
-    load_calibrator, load_config, load_regimes, load_scaler, read_prepared, save_state, submission, write_cv,
-    write_history, write_prepared, write_submission,
+    load_calibrator, load_config, load_regimes, load_scaler, read_prepared, read_versioned, save_state, submission, versions,
+    write_cv, write_history, write_prepared, write_submission, write_versioned,
 )

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..schema import TARGET
 from ..session import materialize
 from .gram import gram
+from .horizon import forecast_steps
 from .slices import first_rows
 from .timeline import HOME, Layout, Timeline, plan_layout
 
@@ -334,17 +335,15 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
 
     Series without a fit, or with fewer rows than the recursion looks back on, get NULL.
 
-    Spark computes the regressors' part and finds each series' last few values;
-    the recursion itself is sequential and runs per series on (step, regressor
-    part) pairs. Its group is the forecast horizon, not the history.
+    The last few values and shocks of each series are one small row; ``forecast_steps`` carries them to any step, blocks
+    of steps beside each other. Rows of ``future`` only meet the results in a join.
     """
     spec, series, order = model.spec, list(model.series), list(model.order)
     if spec.exog:
         past = _with_errors(history.select(*dict.fromkeys([*series, *order, model.target, *spec.exog])), model).select(*dict.fromkeys([*series, *order]), "__v")
-        ahead = _attach(future, model.table, series, ["beta"], model.count).withColumn("__outside_x", _outside(spec)).drop("beta")
+        ahead = _attach(future, model.table, series, ["beta"], model.count).withColumn("outside_x", _outside(spec)).drop("beta")
         out = arx_forecast(past, ahead, _errors_model(model), name, layout, chunk_rows)
-        return out.withColumn(name, F.col(name) + F.col("__outside_x")).drop("__outside_x")
-    keys = series or ["__all"]
+        return out.withColumn(name, F.col(name) + F.col("outside_x")).drop("outside_x")
     diff, ar, ma = spec.difference_weights, spec.ar_lags, spec.ma_lags
     depth = max([1, *ar, *ma]) + max(diff)
 
@@ -355,55 +354,26 @@ def arx_forecast(history: DataFrame, future: DataFrame, model: ArxModel, name: s
     design = _lagged(t, t.df, spec, model.target)
     design = _with_shocks(t, design, spec) if ma else design.withColumn("__e0", F.lit(0.0))
     tail = _home(t, design.withColumns({"__left": t.total() - t.position()})).filter(F.col("__left") <= depth)
-    # fresh key names: history and future may come from the same table
-    past_keys = [f"past_{c}" for c in keys]
-    tail = tail.select(
-        *([F.col(c).alias(f"past_{c}") for c in series] or [F.lit(0).alias("past___all")]), F.col("__left").cast("int").alias("left"),
-        F.col(model.target).cast("double").alias("y"), F.coalesce("__e0", F.lit(0.0)).alias("e"), "beta",
-    )
-    ahead = _attach(future, model.table, series, ["beta"], model.count)
-    outside = F.element_at("beta", 1) if spec.intercept else F.when(F.col("beta").isNotNull(), F.lit(0.0))
-    ahead = ahead.withColumn("__outside", outside).drop("beta")
-    if not series:
-        ahead = ahead.withColumn("__all", F.lit(0))
-    out_columns = [c for c in ahead.columns if c not in ("__all", "__outside")]
-    kinds = {f.name: f.dataType.simpleString() for f in ahead.schema}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in out_columns] + [f"`{name}` double"])
-    skip = 1 if spec.intercept else 0
-
-    def recurse(past: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        out = rows[out_columns].copy()
-        if past.empty or rows.empty:
-            return out.assign(**{name: np.nan})
-        past = past.sort_values("left", ascending=False)
-        if past["beta"].iloc[0] is None or len(past) < depth:
-            return out.assign(**{name: np.nan})  # too short to be fitted or continued
-        beta = np.asarray(past["beta"].iloc[0], dtype=float)
-        phi, theta = beta[skip:skip + len(ar)], beta[skip + len(ar):skip + len(ar) + len(ma)]
-        y, e = list(past["y"]), list(past["e"])
-        reach = len(y)
-        z = [
-            sum(w * y[i - lag] for lag, w in diff.items()) if i >= max(diff) else np.nan for i in range(reach)
-        ]
-        levels = [(lag, w) for lag, w in diff.items() if lag]
-        result = []
-        for part in rows["__outside"].to_numpy():
-            at = len(z)
-            value = part
-            for w, lag in zip(phi, ar):
-                value += w * z[at - lag]
-            for w, lag in zip(theta, ma):
-                if at - lag < reach:
-                    value += w * e[at - lag]
-            z.append(value)
-            level = value - sum(w * y[at - lag] for lag, w in levels)
-            y.append(level)
-            result.append(level)
-        return out.assign(**{name: result})
-
-    ran = tail.groupBy(*past_keys).cogroup(ahead.groupBy(*keys)).applyInPandas(recurse, schema)
-    return ran.withColumn(name, F.when(~F.isnan(name), F.col(name)))
+    missing = F.lit(float("nan"))
+    row = F.struct("__left", F.coalesce(F.col(model.target).cast("double"), missing).alias("y"), F.coalesce("__e0", F.lit(0.0)).alias("e"))
+    states = tail.groupBy(*series).agg(F.first("beta").alias("beta"), F.sort_array(F.collect_list(row)).alias("r"))
+    states = states.filter((F.size("r") >= depth) & F.col("beta").isNotNull()).select(*series, "beta", F.col("r.y").alias("last"), F.col("r.e").alias("shocks"))
+    return forecast_steps(materialize(states), future, series, order, _level_weights(spec), name)
+
+
+def _level_weights(spec: ArxSpec):
+    """Of a coefficient array: weights of the last levels, the constant, and weights of the last shocks."""
+    skip, ar, ma, diff = (1 if spec.intercept else 0), spec.ar_lags, spec.ma_lags, spec.difference_weights
+
+    def weigh(beta: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+        own, steps, moving = np.zeros(max([0, *ar]) + 1), np.zeros(max(diff) + 1), np.zeros(max([0, *ma]))
+        own[0] = 1.0
+        own[ar] = -beta[skip:skip + len(ar)]
+        steps[list(diff)] = list(diff.values())
+        moving[[lag - 1 for lag in ma]] = beta[skip + len(ar):skip + len(ar) + len(ma)]
+        return -np.convolve(own, steps)[1:], float(beta[0]) if skip else 0.0, moving
+
+    return weigh
 
 
 # --- stationarity -----------------------------------------------------------

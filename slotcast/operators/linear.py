@@ -107,14 +107,9 @@ def walk_forward_cv(df: DataFrame, bounds: list[tuple], features=FEATURES, targe
     order = tuple(order or (ts,))
     cols = present(df, features)
     usable = usable_bounds(df, bounds, length, ts)
-    schema = (
-        "fold_id int, train_start string, train_end string, val_start string, val_end string, train_rows bigint, "
-        "val_rows bigint, scored_rows bigint, train_loss double, val_loss double, val_mae double, val_rmse double, "
-        "val_r2 double, overfit_gap double"
-    )
     spark = df.sparkSession
     if not usable:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], FOLD_SCHEMA)
     blocks = [i for i, b in enumerate(bounds, start=1) if b in usable]
     block = F.lit(0)
     for _, start, _ in bounds:
@@ -122,11 +117,7 @@ def walk_forward_cv(df: DataFrame, bounds: list[tuple], features=FEATURES, targe
     inside = F.col(ts) <= naive(bounds[-1][2])
     blocked = df.withColumn("block", block).filter(inside)
     shifts = _shifts(df, [*cols, target])
-    spans = {
-        r["block"]: r for r in blocked.groupBy("block").agg(
-            F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")
-        ).collect()
-    }
+    spans = fold_spans(blocked, ts)
     k = len(cols) + 2
     names = ["one", *(f"c{i}" for i in range(len(cols) + 1))]
     grams = _collect_gram(_shifted(blocked, [*cols, target], shifts, ["block"]), names, "block", k)
@@ -145,6 +136,26 @@ def walk_forward_cv(df: DataFrame, bounds: list[tuple], features=FEATURES, targe
     for j, c in enumerate(cols, start=1):
         predicted = predicted + F.col(c) * weight(j)
     scored = blocked.filter(F.col("block").isin(blocks)).select("block", *order, F.col(target).alias("actual"), predicted.alias("predicted"))
+    return fold_table(spark, scored, spans, blocks, {i: fits[i][1] for i in blocks}, stats, raw_target, length, order)
+
+
+FOLD_SCHEMA = (
+    "fold_id int, train_start string, train_end string, val_start string, val_end string, train_rows bigint, "
+    "val_rows bigint, scored_rows bigint, train_loss double, val_loss double, val_mae double, val_rmse double, "
+    "val_r2 double, overfit_gap double"
+)
+
+
+def fold_spans(blocked: DataFrame, ts: str) -> dict:
+    """Rows, first and last time of each block of time between two bounds."""
+    spans = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last"))
+    return {r["block"]: r for r in spans.collect()}
+
+
+def fold_table(spark, scored: DataFrame, spans: dict, blocks, losses: dict, stats: ScalerStats | None, raw_target: str, length: int, order) -> DataFrame:
+    """One row per fold from its scored validation rows (block, order..., actual, predicted) and training losses."""
+    if not blocks:
+        return spark.createDataFrame([], FOLD_SCHEMA)
     scored = indexed(scored, ("block",), order).filter(F.col("row_index") >= length - 1)
     mean, scale = stats[raw_target] if stats is not None else (0.0, 1.0)
     scored = scored.withColumns({c: F.col(c) * scale + mean for c in ("actual", "predicted")})
@@ -161,10 +172,10 @@ def walk_forward_cv(df: DataFrame, bounds: list[tuple], features=FEATURES, targe
         before = [spans[b] for b in spans if b < i]
         rows.append((
             number, day(first), day(max(s["last"] for s in before)), day(spans[i]["first"]), day(spans[i]["last"]),
-            sum(s["n"] for s in before), spans[i]["n"], m["n"], fits[i][1], val_loss, m["mae"], m["rmse"], m["r2"],
-            val_loss - fits[i][1],
+            sum(s["n"] for s in before), spans[i]["n"], m["n"], losses.get(i), val_loss, m["mae"], m["rmse"], m["r2"],
+            None if losses.get(i) is None else val_loss - losses[i],
         ))
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, FOLD_SCHEMA)
 
 
 def score_windows(df: DataFrame, features, predictor: Callable[[np.ndarray], np.ndarray],

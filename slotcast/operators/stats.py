@@ -7,12 +7,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import ACF_LAGS, LAG_LABELS, LAGS, TARGET, present
-from .quantiles import exact_quantiles, quantile_table
+from .quantiles import SMALL, exact_quantiles, quantile_table
 from .timeline import Layout, open_timeline
 
 
-def target_stats(df: DataFrame, column: str = TARGET, series=()) -> DataFrame:
-    """Count, moments (bias-corrected), quartiles and sign shares. Shares are of all rows, missing included."""
+def target_stats(df: DataFrame, column: str = TARGET, series=(), small: int = SMALL) -> DataFrame:
+    """Count, moments (bias-corrected), quartiles and sign shares. Shares are of all rows, missing included.
+
+    Quartiles of more than ``small`` rows are found by narrowing.
+    """
     x = F.col(column).cast("double")
     base = (df.groupBy(*series) if series else df).agg(
         F.count(F.lit(1)).alias("count"), F.count(x).alias("__n"), F.avg(x).alias("mean"),
@@ -22,7 +25,7 @@ def target_stats(df: DataFrame, column: str = TARGET, series=()) -> DataFrame:
     )
     probs, names = [0.25, 0.5, 0.75], ["q1", "median", "q3"]
     if series:
-        q = quantile_table(df, column, probs, names, series)
+        q = quantile_table(df, column, probs, names, series, small)
         q = q.select(*[F.col(k).alias(f"__k_{k}") for k in series], *names)
         cond = None
         for k in series:
@@ -30,7 +33,7 @@ def target_stats(df: DataFrame, column: str = TARGET, series=()) -> DataFrame:
             cond = eq if cond is None else cond & eq
         base = base.join(q, cond)
     else:
-        got = exact_quantiles(df, column, probs)
+        got = exact_quantiles(df, column, probs, small)
         base = base.withColumns({n: F.lit(v).cast("double") for n, v in zip(names, got)})
     n = F.col("__n").cast("double")
     skew = F.when(n > 2, F.col("__g1") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)))
@@ -197,9 +200,9 @@ def center_marks(df: DataFrame, column: str = TARGET) -> DataFrame:
 def box_summary(df: DataFrame, column: str = TARGET, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the extreme values inside the fences, and the number of points beyond."""
     q1, med, q3 = exact_quantiles(df, column, [0.25, 0.5, 0.75])
-    if q1 is None:
-        q1 = med = q3 = float("nan")
     x = F.col(column).cast("double")
+    if q1 is None:  # no value at all
+        return df.agg(*[F.lit(None).cast("double").alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], F.count(x).alias("outliers"))
     low, high = q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
     inside = x.between(F.lit(low), F.lit(high))
     # without a value between fence and quartile the whisker ends at the box

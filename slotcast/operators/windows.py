@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..schema import LAG_BASE, LAGS, ROLLING, ROLLING_BASE, SEQUENCE_LENGTH, TARGET, present
-from .timeline import FIRST, TOTAL, Layout, Timeline, open_timeline, plan_layout
+from ..schema import LAG_BASE, LAGS, ROLLING, ROLLING_BASE, SEQUENCE_LENGTH, SLOTS_PER_DAY, TARGET, present
+from ..session import materialize
+from .timeline import BROADCAST_BUCKETS, CHUNK, FIRST, HOME, TOTAL, Layout, Timeline, open_timeline, plan_layout
 
 DEFAULT_LAG_BASE = LAG_BASE + (TARGET,)
 DEFAULT_ROLLING_BASE = ROLLING_BASE + (TARGET,)
@@ -204,6 +205,61 @@ def undifference(df: DataFrame, diff: str, level: str, lag: int = 1, name: str =
     return t.close(t.df.withColumn(name, F.col(diff) + F.lag(level, lag).over(t.window)))
 
 
+def undifference_all(df: DataFrame, diff: str, level: str, d: int = 0, D: int = 0, m: int = SLOTS_PER_DAY, name: str = "restored",
+                     series=(), order=("date",), layout: Layout | None = None, chunk_rows: int | None = None) -> DataFrame:
+    """Inverse of (1 - L)^d (1 - L^m)^D from the first d + m D levels alone: ``level`` isn't read beyond them.
+
+    One differencing is undone by running sums over the rows of equal position modulo its lag, whose first entry is a
+    known value of the stage before. Sums run inside chunks; a small table of sums per (chunk, residue) carries them over
+    chunk borders, so neither a series nor a residue class meets in one task. After a missing difference the rows that
+    depend on it are NULL. Series with fewer rows than levels needed keep their levels.
+    """
+    stages = [1] * d + [m] * D
+    if not stages:
+        return df.withColumn(name, F.col(diff))
+    depth = sum(stages)
+    layout = layout or plan_layout(df, series, order, chunk_rows)
+    t = Timeline(df, layout, halo=depth)
+    # what each stage's values are in the first rows, from the levels
+    rows = t.df.withColumns({"__pos": t.position(), "__w0": F.when(t.position() < depth, F.col(level).cast("double"))})
+    for i, lag in enumerate(stages[:-1], start=1):
+        rows = rows.withColumn(f"__w{i}", F.col(f"__w{i - 1}") - F.lag(f"__w{i - 1}", lag).over(t.window))
+    if layout.chunked:
+        rows = rows.filter(HOME)
+    keep = [c for c in df.columns]
+    chunk = F.col(CHUNK) if layout.chunked else F.lit(0).cast("long")
+    rows = materialize(rows.select(*keep, "__pos", chunk.alias("__part"), *[f"__w{i}" for i in range(len(stages))], F.col(diff).cast("double").alias("__x")))
+    known = depth
+    for i in reversed(range(len(stages))):
+        lag, known = stages[i], known - stages[i]
+        # seeds stand where this stage's values are known first, differences after them
+        value = F.when(F.col("__pos") < known, F.lit(None)).when(F.col("__pos") < known + lag, F.col(f"__w{i}")).otherwise(F.col("__x"))
+        gap = ((F.col("__pos") >= known) & F.col("__v").isNull()).cast("long")
+        rows = rows.withColumn("__v", value).withColumns({"__gap": gap, "__class": F.col("__pos") % lag})
+        before = None
+        if layout.chunked:
+            sums = materialize(rows.groupBy(*series, "__part", "__class").agg(F.sum("__v").alias("__s"), F.sum("__gap").alias("__g")))
+            earlier = W.partitionBy(*series, "__class").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+            before = sums.select(*series, "__part", "__class", F.coalesce(F.sum("__s").over(earlier), F.lit(0.0)).alias("__sb"), F.coalesce(F.sum("__g").over(earlier), F.lit(0).cast("long")).alias("__gb"))
+            count = sums.count()
+            keys = [*series, "__part", "__class"]
+            before = before.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__sb", "__gb")
+            cond = None
+            for k in keys:
+                eq = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+                cond = eq if cond is None else cond & eq
+            rows = rows.join(F.broadcast(before) if count <= BROADCAST_BUCKETS else before, cond).drop(*[f"__k_{k}" for k in keys])
+        along = W.partitionBy(*series, "__part", "__class").orderBy("__pos").rowsBetween(W.unboundedPreceding, 0)
+        total, gaps = F.sum("__v").over(along), F.sum("__gap").over(along)
+        if before is not None:
+            total, gaps = F.coalesce(total, F.lit(0.0)) + F.col("__sb"), gaps + F.col("__gb")
+        restored = F.when((F.col("__pos") >= known) & (gaps == 0), total)
+        rows = rows.withColumn("__x", restored).drop("__v", "__gap", "__class", "__sb", "__gb")
+        if i and layout.chunked:
+            rows = materialize(rows)
+    return rows.withColumn(name, F.coalesce("__x", "__w0")).select(*keep, name)
+
+
 def sequence_windows(df: DataFrame, features, target: str | None = None, length: int = SEQUENCE_LENGTH,
                      series=(), order=("date",), layout: Layout | None = None,
                      chunk_rows: int | None = None) -> DataFrame:

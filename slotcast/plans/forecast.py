@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.calendar import arimax_exog, fourier_arimax, fourier_sarima, sarima_exog
 from ..operators.autoreg import ArxModel, ArxSpec, adf_test, arx_fit, arx_forecast
+from ..operators.css import BLOCK_ROWS, CssModel, css_fit, css_forecast
 from ..operators.calibrate import FREE, SCRIPT_C, Calibrator, calibrate_apply, calibrate_fit
 from ..operators.evaluate import directional_accuracy, error_metrics
 from ..operators.grid import median_fill, regular_grid
@@ -53,7 +54,7 @@ def forecast_prepared(p: Prepared, fraction: float = VALIDATION_FRACTION, featur
 
 @dataclass
 class Classical:
-    model: ArxModel
+    model: ArxModel | CssModel
     validation: DataFrame
     metrics: DataFrame
     calibrator: Calibrator
@@ -61,16 +62,22 @@ class Classical:
 
 
 def holdout_eval(y: DataFrame, spec: ArxSpec, target: str = TARGET, holdout: int = ARIMA_HOLDOUT_ROWS,
-                 fit_rows: int | None = None, series=(), order=("date",)) -> tuple[DataFrame, DataFrame]:
-    """Fit on the rows before the holdout, forecast it, and measure: (validation rows, metrics)."""
+                 fit_rows: int | None = None, series=(), order=("date",), method: str = "regression") -> tuple[DataFrame, DataFrame]:
+    """Fit on the rows before the holdout, forecast it, and measure: (validation rows, metrics).
+
+    ``method`` is ``regression`` (two steps, product lags free) or ``css`` (least sum of squared shocks).
+    """
     layout = plan_layout(y, series, order)
     # the fit, the forecast and the metrics all read these rows
     roles = materialize(holdout_tail(y, holdout, fit_rows, series, order, layout=layout))
     layout = layout.for_subset()
     fit = roles.filter("role = 'fit'").drop("role")
     val = roles.filter("role = 'val'").drop("role")
-    model = arx_fit(fit, spec, target, series, order, layout=layout)
-    predicted = arx_forecast(fit, val.withColumnRenamed(target, "actual"), model, layout=layout)
+    if method == "css" and layout is not None and layout.longest > BLOCK_ROWS:
+        layout = None
+    fitted, ahead = (css_fit, css_forecast) if method == "css" else (arx_fit, arx_forecast)
+    model = fitted(fit, spec, target, series, order, layout=layout)
+    predicted = ahead(fit, val.withColumnRenamed(target, "actual"), model, layout=layout)
     # read by the metrics and, pass after pass, by the calibration
     rows = materialize(predicted.select(*series, *order, "actual", "predicted"))
     metrics = error_metrics(rows, by=tuple(series))
@@ -94,7 +101,7 @@ def classical_forecast(train: DataFrame, test: DataFrame, family: str = "arima",
 
     Grid, median fill, unit-root test for d, regressors standardised on train,
     holdout evaluation and calibration, final fit on the last year (``fit_rows``), forecast of
-    every test slot.
+    every test slot. Parameters of all parts are found jointly, by conditional sum of squares.
     """
     # every later step starts from these two tables
     y, ahead = materialize(regular_grid(train)), materialize(regular_grid(test))
@@ -111,9 +118,9 @@ def classical_forecast(train: DataFrame, test: DataFrame, family: str = "arima",
     y = y.select("date", TARGET, *spec.exog)
     if spec.exog:
         y = materialize(y)  # regressors are read by the holdout and by both fits
-    validation, metrics = holdout_eval(y, spec, holdout=holdout, fit_rows=fit_rows)
+    validation, metrics = holdout_eval(y, spec, holdout=holdout, fit_rows=fit_rows, method="css")
     calibrator = calibrate_fit(validation, c=SCRIPT_C)
     last_year = last_rows(y, fit_rows)
-    model = arx_fit(last_year, spec)
-    forecast = calibrate_apply(arx_forecast(last_year, ahead, model), calibrator)
+    model = css_fit(last_year, spec)
+    forecast = calibrate_apply(css_forecast(last_year, ahead, model), calibrator)
     return submission(forecast), Classical(model, validation, metrics, calibrator, d)

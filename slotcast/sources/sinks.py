@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -52,17 +53,45 @@ def write_submission(df: DataFrame, path: str, probability: str = "probability")
     submission(df, probability).sortWithinPartitions("ID").write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_cv(folds: DataFrame, path: str) -> None:
+POINTERS = "versions"
+
+
+def write_versioned(df: DataFrame, path: str) -> str:
+    """Writes a new version of a table and, once it is whole, a pointer to it; returns the version.
+
+    A version is a folder of its own, and pointers are rows appended to a small table beside it, so a job that fails on
+    the way leaves readers with the version before, and readers of that version undisturbed.
+    """
+    spark, path, version = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    df.write.parquet(f"{path}/data-{version}")
+    pointer = spark.createDataFrame([(version,)], "version string").withColumn("written", F.current_timestamp())
+    pointer.coalesce(1).write.mode("append").parquet(f"{path}/{POINTERS}")
+    return version
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """``version, written`` of all whole versions."""
+    return spark.read.schema("version string, written timestamp").parquet(f"{path.rstrip('/')}/{POINTERS}")
+
+
+def read_versioned(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """The version last pointed to, or the one named."""
+    if version is None:
+        version = versions(spark, path).orderBy(F.desc("written"), F.desc("version")).first()["version"]
+    return spark.read.parquet(f"{path.rstrip('/')}/data-{version}")
+
+
+def write_cv(folds: DataFrame, path: str) -> str:
     """Per-fold metrics; a closed-form fit has no epochs, so ``best_epoch`` is empty unless given."""
     if "best_epoch" not in folds.columns:
         folds = folds.withColumn("best_epoch", F.lit(None).cast("int"))
-    folds.select(*CV_COLUMNS).write.mode("overwrite").parquet(path)
+    return write_versioned(folds.select(*CV_COLUMNS), path)
 
 
-def write_history(history: DataFrame, path: str) -> None:
+def write_history(history: DataFrame, path: str) -> str:
     columns = [c for c in HISTORY_COLUMNS if c in history.columns]
     extra = [c for c in history.columns if c not in columns]
-    history.select(*extra, *columns).write.mode("overwrite").parquet(path)
+    return write_versioned(history.select(*extra, *columns), path)
 
 
 def save_state(spark: SparkSession, folder: str, scaler: ScalerStats | None = None, regimes: Regimes | None = None,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from slotcast import (
     Calibrator, best_epoch, bounds_list, classical_forecast, fit_ridge, forecast_prepared, load_calibrator, load_config,
-    load_market, load_prepared, load_regimes, load_scaler, load_test, prepare, read_prepared, save_state, submission,
+    load_market, load_prepared, load_regimes, load_scaler, load_test, prepare, read_prepared, read_versioned, save_state, submission,
     walk_forward_cv, write_cv, write_history, write_prepared, write_submission,
 )
 from slotcast.schema import CORE, FEATURES, FeatureConfig, TEST_SCHEMA, TRAIN_SCHEMA
@@ -64,13 +64,13 @@ def test_prepared_files_and_state(spark, tmp_path, prepared):
 def test_metric_tables(spark, tmp_path, prepared):
     folds = walk_forward_cv(prepared.train, bounds_list(prepared.train, days=1), stats=prepared.scaler)
     write_cv(folds, f"{tmp_path}/cv")
-    got = spark.read.parquet(f"{tmp_path}/cv")
+    got = read_versioned(spark, f"{tmp_path}/cv")
     assert len(got.columns) == 12 and got.count() == folds.count() > 0
     history = spark.createDataFrame(
         [("a", i, 1.0 / i, 1.0 / i + 0.1, 0.001) for i in range(1, 6)],
         "run_id string, epoch int, train_loss double, val_loss double, learning_rate double")
     write_history(history, f"{tmp_path}/history")
-    assert best_epoch(spark.read.parquet(f"{tmp_path}/history")).first()["best_epoch"] == 5
+    assert best_epoch(read_versioned(spark, f"{tmp_path}/history")).first()["best_epoch"] == 5
 
 
 def test_submission_ids(spark, tmp_path, test_table):

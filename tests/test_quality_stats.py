@@ -80,6 +80,20 @@ def test_quantiles_by_narrowing_equal_numpy(spark):
     assert exact_quantiles(df.filter("false"), "v", [0.5]) == [None]
 
 
+def test_quantiles_of_many_large_series_at_once(spark):
+    rng = np.random.default_rng(13)
+    many = {f"s{i}": rng.standard_cauchy(rng.integers(120, 900)) * 10.0 ** rng.integers(-5, 9) for i in range(12)}
+    many |= {"flat": np.full(300, 2.5), "two": np.array([1.0, 2.0]), "ties": np.repeat([1.0, 7.0, 9.0], 200), None: rng.normal(0, 1, 500)}
+    rows = [(k, float(v)) for k, vs in many.items() for v in vs] + [("two", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "series string, value double").repartition(5)
+    probs, names = [0.0, 0.1, 0.25, 0.5, 0.993, 1.0], [f"q{i}" for i in range(6)]
+    for small, bins in ((50, 8), (1, 3)):
+        got = {r["series"]: list(r)[1:] for r in quantile_table(df, "value", probs, names, ("series",), small, bins).collect()}
+        assert got.pop("empty") == [None] * 6 and set(got) == set(many)
+        for k, vs in many.items():
+            assert np.allclose(got[k], np.quantile(vs, probs), rtol=1e-12), k
+
+
 def test_quantiles_of_a_hot_series(uneven):
     a = quantile_table(uneven, "value", [0.25, 0.5], ["q1", "q2"], ("series",), small=100)
     b = quantile_table(uneven, "value", [0.25, 0.5], ["q1", "q2"], ("series",))

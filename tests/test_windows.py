@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from slotcast import (
     difference, fill_lags, first_rows, holdout_tail, lag_and_roll, lag_features, last_rows, plan_layout,
-    rolling_features, row_index, sequence_windows, temporal_split, undifference,
+    rolling_features, row_index, sequence_windows, temporal_split, undifference, undifference_all,
 )
 from slotcast.operators import slices as slices_module, windows as windows_module
 from slotcast.operators.slices import downsample
@@ -126,6 +126,29 @@ def test_differences_and_inverse(train, train_pd):
     assert np.allclose(back["restored"][96:], back["spread"][96:])
 
 
+@pytest.mark.parametrize("d,D,m", [(1, 0, 5), (0, 1, 7), (2, 0, 3), (1, 1, 7), (1, 2, 4), (0, 0, 5)])
+@pytest.mark.parametrize("chunk_rows", [None, 60])
+def test_differences_of_any_order_are_undone(spark, d, D, m, chunk_rows):
+    rng = np.random.default_rng(d + 10 * D)
+    rows = [(s, i, float(v)) for s, n in (("a", 400), ("b", 90), ("tiny", 2)) for i, v in enumerate(np.cumsum(rng.normal(0, 1, n)))]
+    df = spark.createDataFrame(rows, "series string, id long, y double").repartition(3)
+    out = df.withColumn("diff", F.col("y"))
+    for lag in [1] * d + [m] * D:
+        out = difference(out, "diff", lag, name="next", series=("series",), order=("id",)).drop("diff").withColumnRenamed("next", "diff")
+    depth = d + m * D
+    known = out.withColumn("level", F.when(F.col("id") < depth, F.col("y")))
+    got = undifference_all(known, "diff", "level", d, D, m, series=("series",), order=("id",), chunk_rows=chunk_rows).toPandas()
+    assert len(got) == len(rows) and np.allclose(got["restored"], got["y"])
+
+
+def test_a_missing_difference_ends_what_depends_on_it(spark):
+    rows = [(i, 1.0 if i < 3 else None, None if i < 3 or i == 7 else 1.0) for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, level double, diff double")
+    for chunk_rows in (None, 4):
+        got = undifference_all(df, "diff", "level", 0, 1, 3, order=("id",), chunk_rows=chunk_rows).orderBy("id").toPandas()["restored"]
+        assert got.isna().tolist() == [i in (7, 10) for i in range(12)] and got[11] == 4.0
+
+
 def test_split_is_chronological_and_complete(train, train_pd):
     got = temporal_split(train, 0.2).toPandas().sort_values("date")
     cut = int(len(train_pd) * (1 - 0.2))
