@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,16 +89,25 @@ def _due(hot: np.ndarray, prefix: np.ndarray, suffix: np.ndarray, step: int, sha
     """Phrases to be counted in ``step``, by the steps in which their subphrases may have turned frequent."""
     past = np.uint64((1 << step) - 1)
     window = np.uint64((1 << step) - (1 << max(step - shards, 0)))
-    a, b = hot[slot(prefix)] & past, hot[slot(suffix)] & past
+    a, b = hot[slot(prefix)].astype(np.uint64) & past, hot[slot(suffix)].astype(np.uint64) & past
     return (a != 0) & (b != 0) & ((a | b) & window != 0)
 
 
-def _counts(shard: DataFrame, step: int, lengths: list[int], hot: dict[int, np.ndarray], shards: int) -> DataFrame:
+def _packed(table: np.ndarray) -> tuple[bytes, str]:
+    """A table with few entries set takes little room on its way to the tasks."""
+    return zlib.compress(table.tobytes(), 1), table.dtype.str
+
+
+def _unpacked(packed: tuple[bytes, str]) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed[0]), packed[1])
+
+
+def _counts(shard: DataFrame, step: int, lengths: list[int], hot: dict[int, tuple[bytes, str]], shards: int) -> DataFrame:
     """Rows of ``KEYS``: partial counts in a shard of the phrases of ``lengths`` that are due in ``step``."""
     shared = shard.sparkSession.sparkContext.broadcast({k: v for k, v in hot.items() if k + 1 in lengths})  # of fixed size
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, texts = shared.value, Texts()
+        tables, texts = {k: _unpacked(v) for k, v in shared.value.items()}, Texts()
         waiting: dict[int, list] = {n: [] for n in lengths}
         held = 0
 
@@ -128,13 +138,13 @@ def _counts(shard: DataFrame, step: int, lengths: list[int], hot: dict[int, np.n
     return shard.mapInArrow(make, KEYS)
 
 
-def _hot_table(state: DataFrame) -> np.ndarray:
+def _hot_table(state: DataFrame, steps: int) -> np.ndarray:
     """For each slot, the steps in which phrases of it turned frequent, as bits; at most ``SLOTS`` rows are fetched."""
-    bits = F.expr("shiftleft(1L, hot)")
     place = F.shiftrightunsigned("key", 64 - SLOTS.bit_length() + 1)
-    rows = state.where("hot is not null").groupBy(place.alias("slot")).agg(F.bit_or(bits).alias("steps")).toArrow()
-    out = np.zeros(SLOTS, np.uint64)
-    out[rows["slot"].to_numpy()] = rows["steps"].to_numpy().view(np.uint64)
+    rows = state.where("hot is not null").groupBy(place.alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, hot)")).alias("steps")).toArrow()
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if steps <= 8 * np.dtype(k).itemsize)
+    out = np.zeros(SLOTS, kind)
+    out[rows["slot"].to_numpy()] = rows["steps"].to_numpy()
     return out
 
 
@@ -146,7 +156,7 @@ def frequent(sharded: list[DataFrame], least: int, longest: int) -> dict[int, Da
     per_shard = [f"c{j}" for j in range(shards)]
     total = sum((F.col(c) for c in per_shard), F.lit(0).cast("long"))
     state: dict[int, DataFrame] = {}
-    hot: dict[int, np.ndarray] = {}
+    hot: dict[int, tuple[bytes, str]] = {}
     steps: dict[int, list[int]] = {}  # steps in which phrases of a length turned frequent
     step = 0
     while True:
@@ -170,7 +180,7 @@ def frequent(sharded: list[DataFrame], least: int, longest: int) -> dict[int, Da
             steps[r["n"]] = sorted(r["steps"])
         for n in lengths:
             if n < longest:
-                hot[n] = _hot_table(state[n])
+                hot[n] = _packed(_hot_table(state[n], longest * shards))
         step += 1
 
 
@@ -179,10 +189,10 @@ def _named(docs: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
 
     Rows of n = 0 hold numbers of words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(table)  # of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(_packed(table))  # of fixed size
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, texts = shared.value, Texts()
+        wanted, texts = _unpacked(shared.value), Texts()
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for data, words, at, piece, seed, row, own in texts.runs(batch.column(0), batch.column(1)):
