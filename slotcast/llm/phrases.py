@@ -11,8 +11,13 @@ steps each) when the subphrases turned frequent. Phrases that share a slot may b
 late, which changes nothing: a phrase's count in a shard is whole or missing, is kept by shard, and the frequent ones all
 get their full cycle. Counts so far never exceed true counts, so nothing is activated wrongly.
 
-Words of the frequent phrases. One more scan gives the texts of the frequent keys with their counts by text, which also
-confirms the counts: should two texts share a key, each gets its own.
+A phrase whose cycle is over and that stayed below the threshold is let go at once: tasks hand on with each phrase the
+last step in which its cycle can have begun.
+
+Words of the frequent phrases. One more scan gives each frequent key its text, once per task.
+
+Keys have 55 bits of hash: a frequent phrase shares its key with some other of a billion phrases of its length with a
+chance of 3 in 10^8, and its count would then hold the other's too.
 
 Scores and the dropping of phrases inside longer ones are joins and windows over the frequent phrases, in exact decimals.
 
@@ -35,13 +40,15 @@ from ..session import ensure_checkpoint_dir
 from .common import WordHasher, bytes_of, grams, mixed, slices, stored
 
 LEAST, LONGEST, SHARDS = 30, 4, 2
-SLOTS = 1 << 22  # entries of the table of frequent phrases, of at most 64 steps each
+SLOTS = 1 << 23  # entries of a table of frequent phrases; each phrase sets two
 HELD = 1 << 22  # keys a task holds before it counts them
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else b for b in range(256))
-KEYS = "n int, key long, c long"
+# A key's low bits: the phrase's length above the last step in which its cycle can have begun.
+STEP_BITS, LENGTH_BITS = 6, 3
+KEYS = "key long, c long"
 
 
 class Texts:
@@ -78,19 +85,48 @@ def keys_of(words: np.ndarray, piece: np.ndarray, seed: np.ndarray, n: int) -> t
     if len(words) < n:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
     inside = piece[n - 1 :] == piece[: len(piece) - n + 1]
-    return mixed(grams(words, n) ^ seed[: len(words) - n + 1]), inside
+    bits = np.uint64(STEP_BITS + LENGTH_BITS)
+    return (mixed(grams(words, n) ^ seed[: len(words) - n + 1]) >> bits << bits) | np.uint64(n << STEP_BITS), inside
+
+
+def length_of(key):
+    return F.shiftright(key, STEP_BITS).bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).cast("int")
+
 
+def slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two entries of keys in a table."""
+    bits = SLOTS.bit_length() - 1
+    return tuple((keys << np.uint64(skip) >> np.uint64(64 - bits)).astype(np.int64) for skip in (0, bits))
 
-def slot(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
+def marks(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """What both entries of a key have in common: all that was set for it, and rarely more."""
+    one, two = slots(keys)
+    return table[one] & table[two]
+
+
+def _table(rows: DataFrame, bits, width: int) -> np.ndarray:
+    """Table of the keys in ``rows`` with ``bits`` (below 2 ** width) set for each; at most ``SLOTS`` rows are fetched."""
+    places = [F.shiftrightunsigned(F.shiftleft("key", skip), 65 - SLOTS.bit_length()) for skip in (0, SLOTS.bit_length() - 1)]
+    found = rows.select(F.explode(F.array(*places)).alias("slot"), bits.alias("bits")).groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if width <= 8 * np.dtype(k).itemsize)
+    out = np.zeros(SLOTS, kind)
+    out[found["slot"].to_numpy()] = found["bits"].to_numpy()
+    return out
 
-def _due(hot: np.ndarray, prefix: np.ndarray, suffix: np.ndarray, step: int, shards: int) -> np.ndarray:
-    """Phrases to be counted in ``step``, by the steps in which their subphrases may have turned frequent."""
+
+def _due(hot: np.ndarray, prefix: np.ndarray, suffix: np.ndarray, step: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases to be counted in ``step``, by the steps in which their subphrases may have turned frequent.
+
+    Also the last step in which a phrase's cycle can have begun; it is counted from there for a cycle in any case.
+    """
     past = np.uint64((1 << step) - 1)
-    window = np.uint64((1 << step) - (1 << max(step - shards, 0)))
-    a, b = hot[slot(prefix)].astype(np.uint64) & past, hot[slot(suffix)].astype(np.uint64) & past
-    return (a != 0) & (b != 0) & ((a | b) & window != 0)
+    a, b = marks(hot, prefix).astype(np.uint64) & past, marks(hot, suffix).astype(np.uint64) & past
+    either = a | b
+    begun = np.zeros(len(a), np.uint64)
+    for s in range(step):
+        begun[(either >> np.uint64(s)) & np.uint64(1) == 1] = s + 1
+    return (a != 0) & (b != 0) & (begun + np.uint64(shards) > step), begun
 
 
 def _packed(table: np.ndarray) -> tuple[bytes, str]:
@@ -108,27 +144,28 @@ def _counts(shard: DataFrame, step: int, lengths: list[int], hot: dict[int, tupl
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, texts = {k: _unpacked(v) for k, v in shared.value.items()}, Texts()
-        waiting: dict[int, list] = {n: [] for n in lengths}
+        waiting: list[np.ndarray] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for n, parts in waiting.items():
-                keys, counts = np.unique(np.concatenate(parts or [np.zeros(0, np.uint64)]), return_counts=True)
-                for low in range(0, len(keys), 1 << 16):
-                    k, c = keys[low : low + (1 << 16)], counts[low : low + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), n, np.int32)), pa.array(k.view(np.int64)), pa.array(c)], names=["n", "key", "c"])
-                parts.clear()
+            keys, counts = np.unique(np.concatenate(waiting or [np.zeros(0, np.uint64)]), return_counts=True)
+            waiting.clear()
+            for low in range(0, len(keys), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[low : low + (1 << 16)].view(np.int64)), pa.array(counts[low : low + (1 << 16)])], names=["key", "c"])
 
         for batch in batches:
             for _, words, _, piece, seed, _, _ in texts.runs(batch.column(0), batch.column(1)):
                 shorter = None
                 for n in range(min(lengths) - (min(lengths) > 1), max(lengths) + 1):
                     keys, inside = keys_of(words, piece, seed, n)
-                    if n in waiting:
+                    if n in lengths and len(keys):
                         if n > 1:
-                            inside = inside & _due(tables[n - 1], shorter[:-1], shorter[1:], step, shards) if len(keys) else inside
-                        waiting[n].append(keys[inside])
-                        held += len(waiting[n][-1])
+                            due, begun = _due(tables[n - 1], shorter[:-1], shorter[1:], step, shards)
+                            inside = inside & due
+                            waiting.append(keys[inside] | begun[inside])
+                        else:
+                            waiting.append(keys[inside])
+                        held += len(waiting[-1])
                     shorter = keys
                 if held >= HELD:
                     yield from flush()
@@ -138,21 +175,11 @@ def _counts(shard: DataFrame, step: int, lengths: list[int], hot: dict[int, tupl
     return shard.mapInArrow(make, KEYS)
 
 
-def _hot_table(state: DataFrame, steps: int) -> np.ndarray:
-    """For each slot, the steps in which phrases of it turned frequent, as bits; at most ``SLOTS`` rows are fetched."""
-    place = F.shiftrightunsigned("key", 64 - SLOTS.bit_length() + 1)
-    rows = state.where("hot is not null").groupBy(place.alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, hot)")).alias("steps")).toArrow()
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if steps <= 8 * np.dtype(k).itemsize)
-    out = np.zeros(SLOTS, kind)
-    out[rows["slot"].to_numpy()] = rows["steps"].to_numpy()
-    return out
-
-
 def frequent(sharded: list[DataFrame], least: int, longest: int) -> dict[int, DataFrame]:
-    """Keys of the phrases that occur ``least`` times, by length: rows (key, n, total)."""
+    """Keys of the phrases that occur ``least`` times, by length: rows with ``hot`` of (key, act, c0, c1, ..., hot)."""
     shards = len(sharded)
-    if shards * longest > 62:
-        raise ValueError("steps are kept as bits: at most 62 / longest shards")
+    if shards * longest > 62 or longest >= 1 << LENGTH_BITS:
+        raise ValueError("steps are kept as bits: at most 62 / longest shards, and phrases of at most 7 words")
     per_shard = [f"c{j}" for j in range(shards)]
     total = sum((F.col(c) for c in per_shard), F.lit(0).cast("long"))
     state: dict[int, DataFrame] = {}
@@ -165,27 +192,29 @@ def frequent(sharded: list[DataFrame], least: int, longest: int) -> dict[int, Da
         if not lengths:
             return state
         new = _counts(sharded[step % shards], step, lengths, hot, shards)
-        rows = new.select("n", "key", *(F.lit(0).cast("long").alias(c) for c in per_shard), F.lit(None).cast("int").alias("hot"), "c")
+        steps_mask = (1 << STEP_BITS) - 1
+        key, act = F.col("key").bitwiseAND(F.lit(~steps_mask)), F.col("key").bitwiseAND(F.lit(steps_mask)).cast("int")
+        rows = new.select(key.alias("key"), act.alias("act"), *(F.lit(0).cast("long").alias(c) for c in per_shard), F.lit(None).cast("int").alias("hot"), "c")
         for n in lengths:
             if n in state:
                 rows = rows.unionByName(state[n].withColumn("c", F.lit(0).cast("long")))
-        summed = rows.groupBy("n", "key").agg(*(F.max(c).alias(c) for c in per_shard), F.min("hot").alias("hot"), F.sum("c").alias("c"))
+        summed = rows.groupBy("key").agg(F.min("act").alias("act"), *(F.max(c).alias(c) for c in per_shard), F.min("hot").alias("hot"), F.sum("c").alias("c"))
         now = per_shard[step % shards]
         summed = summed.withColumn(now, F.greatest(now, "c")).drop("c")  # a shard's count is whole or missing
         summed = summed.withColumn("hot", F.coalesce("hot", F.when(total >= least, F.lit(step))))
-        merged = stored(summed)
+        merged = stored(summed.where(F.col("hot").isNotNull() | (F.col("act") + shards - 1 > step)))
         for n in lengths:
-            state[n] = merged.where(F.col("n") == n)
-        for r in merged.where("hot is not null").groupBy("n").agg(F.collect_set("hot").alias("steps")).collect():  # a row per length
+            state[n] = merged.where(length_of("key") == n)
+        for r in merged.where("hot is not null").groupBy(length_of("key").alias("n")).agg(F.collect_set("hot").alias("steps")).collect():  # a row per length
             steps[r["n"]] = sorted(r["steps"])
         for n in lengths:
             if n < longest:
-                hot[n] = _packed(_hot_table(state[n], longest * shards))
+                hot[n] = _packed(_table(state[n].where("hot is not null"), F.expr("shiftleft(1L, hot)"), longest * shards))
         step += 1
 
 
 def _named(docs: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
-    """Rows (lang, n, key, phrase, c): texts of the phrases whose key's slot is set, with partial counts.
+    """Rows (lang, n, key, phrase, c): texts of the phrases whose key's slot is set, once per task.
 
     Rows of n = 0 hold numbers of words.
     """
@@ -193,6 +222,7 @@ def _named(docs: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, texts = _unpacked(shared.value), Texts()
+        met: set[int] = set()
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for data, words, at, piece, seed, row, own in texts.runs(batch.column(0), batch.column(1)):
@@ -200,15 +230,21 @@ def _named(docs: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
                 ends = np.append(at[1:], own[-1]) - own[0]
                 starts = at - own[0]
                 out = [(langs[i], 0, 0, b"", int(c)) for i, c in zip(*np.unique(row, return_counts=True))]
+                if len(met) > HELD:
+                    met.clear()
+                shorter = None
                 for n in range(1, longest + 1):
                     keys, inside = keys_of(words, piece, seed, n)
-                    places = np.flatnonzero(inside)
-                    places = places[(wanted[slot(keys[places])] >> np.uint8(n)) & 1 == 1]
-                    distinct, first, counts = np.unique(keys[places], return_index=True, return_counts=True)
-                    for key, i, c in zip(distinct.view(np.int64).tolist(), places[first].tolist(), counts.tolist()):
-                        # from the first word's start to the next word's start; the last word ends where its piece does
-                        text = lower[starts[i] : ends[i + n - 1]]
-                        out.append((langs[row[i]], n, key, b" ".join(_words(text, n)), c))
+                    good = inside & (marks(wanted, keys) >> np.uint8(n) & 1 == 1)
+                    if n > 1 and len(keys):  # parts of a frequent phrase are frequent
+                        good &= shorter[:-1] & shorter[1:]
+                    shorter, places = good, np.flatnonzero(good)
+                    distinct, first = np.unique(keys[places], return_index=True)
+                    for key, i in zip(distinct.view(np.int64).tolist(), places[first].tolist()):
+                        if key not in met:
+                            met.add(key)
+                            # from the first word's start to the next word's start; the last word ends where its piece does
+                            out.append((langs[row[i]], n, key, b" ".join(_words(lower[starts[i] : ends[i + n - 1]], n)), 0))
                 columns = list(zip(*out)) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()).cast(pa.string()), pa.array(columns[4], pa.int64())],
@@ -237,16 +273,13 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards:
     state = frequent(sharded, least, longest)
     found = None
     for part in state.values():
-        part = part.where("hot is not null").select("n", "key")
+        part = part.where("hot is not null").select(length_of("key").alias("n"), "key", sum((F.col(f"c{j}") for j in range(shards)), F.lit(0).cast("long")).alias("f"))
         found = part if found is None else found.unionByName(part)
     found = stored(found)
-    place = F.shiftrightunsigned("key", 64 - SLOTS.bit_length() + 1)
-    slots = found.groupBy(place.alias("slot")).agg(F.bit_or(F.expr("shiftleft(1, n)")).alias("lengths")).toArrow()  # at most SLOTS rows
-    table = np.zeros(SLOTS, np.uint8)
-    table[slots["slot"].to_numpy()] = slots["lengths"].to_numpy()
-    named = stored(_named(whole.select("lang", "text"), table, longest).groupBy("lang", "n", "key", "phrase").agg(F.sum("c").alias("f")).where((F.col("f") >= least) | (F.col("n") == 0)))
-    phrases = stored(named.join(found, ["n", "key"], "left_semi").select("lang", "n", "phrase", "f"))
-    return phrases, named.where("n = 0").select("lang", F.col("f").alias("n"))
+    table = _table(found, F.expr("shiftleft(1L, n)"), longest + 1)
+    named = stored(_named(whole.select("lang", "text"), table, longest).groupBy("n", "key", "lang").agg(F.min("phrase").alias("phrase"), F.sum("c").alias("words")))
+    phrases = stored(named.join(found.drop("n"), "key").select("lang", "n", "phrase", "f"))
+    return phrases, named.where("n = 0").select("lang", F.col("words").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, inside: int = 80, top: int | None = None) -> DataFrame:

@@ -105,6 +105,9 @@ def test_empty_tables(spark):
 
 def test_due_is_a_full_cycle():
     hot = np.zeros(phrases.SLOTS, np.uint64)
-    a, b = np.array([0], np.uint64), np.array([1 << 63], np.uint64)
-    hot[phrases.slot(a)], hot[phrases.slot(b)] = 1 << 1, 1 << 3
-    assert [s for s in range(12) if phrases._due(hot, a, b, s, 4)[0]] == [4, 5, 6, 7]
+    a, b = np.array([1 << 30], np.uint64), np.array([(1 << 63) + (1 << 35)], np.uint64)
+    for keys, step in ((a, 1), (b, 3)):
+        for place in phrases.slots(keys):
+            hot[place] |= np.uint64(1 << step)
+    assert [s for s in range(12) if phrases._due(hot, a, b, s, 4)[0][0]] == [4, 5, 6, 7]
+    assert phrases._due(hot, a, b, 6, 4)[1][0] == 4
