@@ -59,9 +59,14 @@ def _units(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, exactly, so that their squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _short(x: np.ndarray) -> pa.Array:
-    """Unit vectors in half precision, enough to rank candidates."""
-    return pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())
+    """Unit vectors in single precision: what ranks candidates, near copies among them."""
+    return pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())
 
 
 def _lists(owner: np.ndarray, other: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
@@ -78,7 +83,7 @@ def nearest_lists(pairs: DataFrame, links: int) -> DataFrame:
 def leaf_pairs(nodes: DataFrame, count: int, links: int, trees: int, leaf: int) -> DataFrame:
     """Near pairs (id, other, s) inside the leaves of the trees. ``nodes``: (id, short)."""
     sample = nodes.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(SAMPLE).select("short").collect()
-    points = np.array([np.frombuffer(r["short"], np.float16) for r in sample], np.float32)
+    points = np.array([np.frombuffer(r["short"], np.float32) for r in sample], np.float32)
     if not len(points):
         return nodes.select("id", F.col("id").alias("other"), F.lit(0.0).cast("float").alias("s"))  # no rows
     bits = max(0, int(np.ceil(np.log2(max(count, 1) / leaf))))
@@ -91,7 +96,7 @@ def leaf_pairs(nodes: DataFrame, count: int, links: int, trees: int, leaf: int)
         for batch in batches:
             if not len(batch):
                 continue
-            x = np.array([np.frombuffer(v, np.float16) for v in batch.column(1).to_pylist()], np.float32)
+            x = np.array([np.frombuffer(v, np.float32) for v in batch.column(1).to_pylist()], np.float32)
             code = ((x @ planes > middles).reshape(len(x), trees, bits) * weights).sum(axis=2) if bits else np.zeros((len(x), trees), np.int64)
             at = np.repeat(np.arange(len(x)), trees)
             short = batch.column(1).take(pa.array(at))
@@ -104,7 +109,7 @@ def leaf_pairs(nodes: DataFrame, count: int, links: int, trees: int, leaf: int)
 
     def score(key, table):
         ids = table.column("id").to_numpy()
-        x = np.array([np.frombuffer(v, np.float16) for v in table.column("short").to_pylist()], np.float32)
+        x = np.array([np.frombuffer(v, np.float32) for v in table.column("short").to_pylist()], np.float32)
         keep = min(per_tree, len(ids) - 1)
         if keep < 1:
             return pa.Table.from_batches([_lists(ids[:0], ids[:0], np.zeros(0))])
@@ -136,7 +141,7 @@ def descend(graph: DataFrame, nodes: DataFrame, links: int) -> DataFrame:
             parts = []
             for members in batch.column(0).to_pylist():
                 ids = np.array([m["other"] for m in members], np.int64)
-                x = np.array([np.frombuffer(m["short"], np.float16) for m in members], np.float32)
+                x = np.array([np.frombuffer(m["short"], np.float32) for m in members], np.float32)
                 s = x @ x.T
                 np.fill_diagonal(s, -4)
                 a, b = np.nonzero(s > np.array([m["worst"] for m in members], np.float32)[:, None])
@@ -169,7 +174,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, links: int =
         if not rows:
             continue
         place = {r["id"]: i for i, r in enumerate(rows)}
-        points = np.array([np.frombuffer(r["short"], np.float16) for r in rows], np.float32)
+        points = np.array([np.frombuffer(r["short"], np.float32) for r in rows], np.float32)
         shared = spark.sparkContext.broadcast((place, points))
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +182,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, links: int =
             for batch in batches:
                 if len(batch):
                     q = x[[where[i] for i in batch.column(0).to_pylist()]]
-                    y = np.array([np.frombuffer(v, np.float16) for v in batch.column(2).to_pylist()], np.float32)
+                    y = np.array([np.frombuffer(v, np.float32) for v in batch.column(2).to_pylist()], np.float32)
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.einsum("ij,ij->i", q, y))], names=["query", "id", "s"])
 
         # met: all nodes scored so far; front: those to expand next.
@@ -236,7 +241,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.float64).reshape(len(batch), -1) for c in (2, 3))
+                a, b = (_scaled(np.frombuffer(b"".join(batch.column(c).to_pylist()), np.float64).reshape(len(batch), -1)) for c in (2, 3))
                 s = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], names=["node", "id", "score"])
 

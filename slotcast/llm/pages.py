@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .urls import split
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|/?\Z)""", re.S)
+TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))|=\s*[^\s>"'][^\s>]*|=\s*(?=>|\Z)|[^>=])*)(?:>|\Z)|/?\Z)""", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+)""", re.I)
 RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "button")}
 BLOCKS = frozenset(
@@ -116,6 +116,16 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
 def common_lines(a: list[str], b: list[str]) -> list[bool]:
     """Which lines of ``a`` belong to a longest common subsequence with ``b``, by bit vectors over the lines of ``a``."""
     shared = [False] * len(a)
+    # equal lines at both ends belong to a longest one: copies need no table
+    low = 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    high = 0
+    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
+        high += 1
+    if low or high:
+        inner = common_lines(a[low : len(a) - high], b[low : len(b) - high])
+        return [True] * low + inner + [True] * high
     places: dict[str, int] = {}
     for i, line in enumerate(a):
         places[line] = places.get(line, 0) | 1 << i

@@ -14,7 +14,9 @@ A window is repeated if the same words also start earlier (smaller id, or same d
 the input. Content is compared by two independent 64-bit hashes (of anchor and segment or window). A document's repeated
 windows cover the words that are removed.
 
-Null, empty and short texts have no window. Ids must be unique; a row without an id neither removes nor loses words. Columns but id and text are not read.
+Null, empty and short texts have no window. A row without an id neither removes nor loses words. Rows with equal ids are
+told apart by a hash of their texts; a window at the same place of the same id isn't earlier than itself, so rows given
+twice lose nothing by each other. Columns but id and text are not read.
 """
 
 from __future__ import annotations
@@ -59,7 +61,20 @@ def segments_of(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray
     return keys[place], content, starts, sizes
 
 
-SEGMENTS = "doc_id long, start int, size int, anchor long, content long, again boolean"
+SEGMENTS = "doc_id long, row long, start int, size int, anchor long, content long, again boolean"
+ROW = ["doc_id", "row"]
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """Documents with an id, and a hash of the text that tells rows of equal ids apart."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.withColumn("row", F.xxhash64("text"))
+
+
+def _not_first(*by: str):
+    """Whether the same content starts at an earlier place (not merely at the same place of a row given twice)."""
+    place = F.struct("doc_id", "start")
+    return F.first(place).over(Window.partitionBy(*by).orderBy("doc_id", "start")) < place
 
 
 def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -71,72 +86,71 @@ def segments(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(seed=2)
         for batch in batches:
-            data, offsets = bytes_of(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            data, offsets = bytes_of(batch.column(2))
+            ids, rows = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
             for low, high in slices(offsets, 4 << 20):
                 words, before = hasher.words(data, offsets[low : high + 1])
                 parts = [segments_of(words[a:b], window, anchor) for a, b in zip(before[:-1], before[1:])]
-                owner = np.repeat(ids[low:high], [len(p[0]) for p in parts])
+                counts = [len(p[0]) for p in parts]
+                owner, row = np.repeat(ids[low:high], counts), np.repeat(rows[low:high], counts)
                 keys, content, starts, sizes = (np.concatenate([p[k] for p in parts]) for k in range(4))
                 order = np.lexsort((starts, owner, content, keys))
-                same = np.zeros(len(order), bool)
-                k, c = keys[order], content[order]
-                same[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+                k, c, o, at = keys[order], content[order], owner[order], starts[order]
+                new = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))[: len(order)]
+                first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
                 again = np.zeros(len(order), bool)
-                again[order] = same
+                again[order] = (o != o[first]) | (at != at[first])
                 keys = np.where(again, (owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + starts.astype(np.uint64), keys)
                 content = np.where(again, np.uint64(0), content)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(owner), pa.array(starts.astype(np.int32)), pa.array(sizes.astype(np.int32)),
+                    pa.array(owner), pa.array(row), pa.array(starts.astype(np.int32)), pa.array(sizes.astype(np.int32)),
                     pa.array(keys.view(np.int64)), pa.array(content.view(np.int64)), pa.array(again),
                 ], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, SEGMENTS)
+    return docs.select("doc_id", "row", "text").mapInArrow(make, SEGMENTS)
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Rows (doc_id, spans): an array of struct(start, size) of the repeated windows, for documents that have any."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    by_anchor = Window.partitionBy("anchor").orderBy("content", "doc_id", "start")
+    """Rows (doc_id, row, spans): an array of struct(start, size) of the repeated windows, for documents that have any."""
+    docs = _rows(docs).where("doc_id is not null")
     of_anchor = Window.partitionBy("anchor")
-    same = F.coalesce(F.lag("content").over(by_anchor) == F.col("content"), F.lit(False))
     marked = segments(docs, window, anchor).withColumns({
-        "again": F.col("again") | same, "edge": F.min("content").over(of_anchor) < F.max("content").over(of_anchor),
+        "again": F.col("again") | _not_first("anchor", "content"), "edge": F.min("content").over(of_anchor) < F.max("content").over(of_anchor),
     })
-    whole = stored(marked.where("again or edge").select("doc_id", "start", "size", "again"))
+    whole = stored(marked.where("again or edge").select(*ROW, "start", "size", "again"))
     return _extended(docs, whole, window, anchor)
 
 
 def _extended(docs: DataFrame, rows: DataFrame, window: int, anchor: int) -> DataFrame:
     """Repeats of ``rows``: whole segments, and the windows of segments whose anchor others share."""
-    shared = rows.where("not again").select("doc_id", "start", "size")
-    lists = shared.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    shared = rows.where("not again").select(*ROW, "start", "size")
+    lists = shared.groupBy(*ROW).agg(F.collect_set(F.struct("start", "size")).alias("spans"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(seed=2)
         other = WordHasher(seed=3)
         for batch in batches:
-            data, offsets = bytes_of(batch.column(1))
-            ids, spans = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            data, offsets = bytes_of(batch.column(2))
+            ids, hashes, spans = (batch.column(k).to_pylist() for k in (0, 1, 3))
             for low, high in slices(offsets):
                 words, before = hasher.words(data, offsets[low : high + 1])
                 words2, _ = other.words(data, offsets[low : high + 1])
-                owner, start, first, second = [], [], [], []
+                owner, row, start, first, second = [], [], [], [], []
                 for k in range(low, high):
                     a, b = before[k - low], before[k - low + 1]
                     one, two = grams(words[a:b], window), grams(words2[a:b], window)
                     at = np.concatenate([np.arange(s["start"], s["start"] + s["size"]) for s in spans[k]])
                     owner.append(np.full(len(at), ids[k], np.int64))
+                    row.append(np.full(len(at), hashes[k], np.int64))
                     start.append(at.astype(np.int32))
                     first.append(one[at].view(np.int64))
                     second.append(two[at].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (owner, start, first, second)], names=["doc_id", "start", "first", "second"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (owner, row, start, first, second)], names=[*ROW, "start", "first", "second"])
 
-    windows = docs.join(lists, "doc_id").select("doc_id", "text", "spans").mapInArrow(make, "doc_id long, start int, first long, second long")
-    order = Window.partitionBy("first", "second").orderBy("doc_id", "start")
-    later = windows.withColumn("nth", F.row_number().over(order)).where("nth > 1").select("doc_id", "start", F.lit(1).alias("size"))
-    found = rows.where("again").select("doc_id", "start", "size").union(later)
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    windows = docs.join(lists, ROW).select(*ROW, "text", "spans").mapInArrow(make, "doc_id long, row long, start int, first long, second long")
+    later = windows.withColumn("late", _not_first("first", "second")).where("late").select(*ROW, "start", F.lit(1).alias("size"))
+    found = rows.where("again").select(*ROW, "start", "size").union(later)
+    return found.groupBy(*ROW).agg(F.collect_set(F.struct("start", "size")).alias("spans"))
 
 
 def covered(count: int, spans: list[dict], window: int) -> np.ndarray:
@@ -151,7 +165,6 @@ def covered(count: int, spans: list[dict], window: int) -> np.ndarray:
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words that stay, joined by blanks)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = repeats(docs, window, anchor)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,4 +182,4 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(make, "doc_id long, n_words long, n_removed long, kept string")
+    return _rows(docs).join(spans, ROW, "left").select("doc_id", "text", "spans").mapInArrow(make, "doc_id long, n_words long, n_removed long, kept string")

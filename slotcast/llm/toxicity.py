@@ -3,9 +3,11 @@
 A text's terms are its distinct words in lower case and their first four to six letters, each hashed to one of 2^20
 buckets. Single terms get a weight, pairs of terms the product of two short vectors, so that a pair such as an insult
 beside a group's name can count for more than its parts. Training is on a bounded, documented sample of labelled rows
-(``per_class`` of either label by a hash of the id), by gradient steps (Adam) in numpy on the driver, on the ``kept``
-buckets that tell the labels apart best by chi-square; the bias is set back to the labels' true shares. Scoring needs
-one small table and no shuffle.
+(``per_class`` of either label by a hash of the id), by gradient steps (Adam) in numpy on the driver; the bias is set back
+to the labels' true shares. The machine holds every bucket that tells the labels apart alone (chi-square above ``ALONE``),
+and every one of the ``FREQUENT`` most frequent buckets that does so together with another (their joint deviation from
+what either says is more than ``TOGETHER`` standard deviations), however many these are; a text given several times counts
+once in these statistics. Scoring needs one small table and no shuffle.
 
 Null and empty texts, and texts without a known term, get the score of the bias. Labels that are null or neither 0 nor
 1 don't train; without both labels every score is the share of label 1 (0 without labels). Rows keep their number;
@@ -27,6 +29,7 @@ BUCKETS, VECTOR, SEED = 1 << 20, 6, 11
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
 KEPT_WORDS = 400_000
+ALONE, TOGETHER, FREQUENT = 25.0, 6.5, 2048
 
 
 def word_terms(word: str) -> list[int]:
@@ -64,27 +67,49 @@ class Machine:
         return round(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))), 6)
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, share: float, kept: int = 512, steps: int = 500) -> Machine:
+def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Buckets that tell the labels apart, alone or in pairs, ascending."""
+    distinct = {(r.tobytes(), int(y)): i for i, (r, y) in enumerate(zip(rows, labels))}
+    rows, labels = [rows[i] for i in distinct.values()], labels[list(distinct.values())]
+    buckets, entry = np.unique(np.concatenate(rows), return_inverse=True)
+    sizes = [len(r) for r in rows]
+    count, share = len(rows), float(labels.mean())
+    if not len(buckets) or share in (0.0, 1.0):
+        return buckets[:0]
+    total, ones = np.bincount(entry, minlength=len(buckets)), np.bincount(entry, np.repeat(labels, sizes), len(buckets))
+    alone = (total >= 3) & ((ones - total * share) ** 2 > ALONE * total * share * (1 - share))
+    often = total / count
+    top = np.argsort(-often * (1 - often), kind="stable")[:FREQUENT]
+    place = np.full(len(buckets), -1)
+    place[top] = np.arange(len(top))
+    x = np.zeros((count, len(top)), np.float32)
+    at, owner = place[entry], np.repeat(np.arange(count), sizes)
+    x[owner[at >= 0], at[at >= 0]] = 1
+    p = x.mean(axis=0)
+    x -= p
+    joint = x.T @ (x * (labels - share).astype(np.float32)[:, None])  # third central moments
+    both, spread = (x.T @ x) / count, p * (1 - p)
+    variance = np.maximum(np.outer(1 - 2 * p, 1 - 2 * p) * both + np.outer(spread, spread) - both**2, 1e-9) * count * share * (1 - share)
+    rare = np.outer(p, p) * count * share * (1 - share) < 5
+    alike = np.abs(both) > 0.5 * np.sqrt(np.outer(spread, spread))  # a word and its beginning
+    paired = ((joint**2 > TOGETHER**2 * variance) & ~rare & ~alike).any(axis=1)
+    alone[top[paired]] = True
+    return buckets[alone]
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, share: float, steps: int = 500) -> Machine:
     """``rows``: distinct buckets of each text; ``share``: of label 1 among all labelled rows."""
     one, zero = int(labels.sum()), int(len(labels) - labels.sum())
     if not one or not zero:
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Machine(float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, VECTOR)), {})
-    pairs = np.concatenate([r for r in rows]) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(labels, [len(r) for r in rows])
-    total, ones = np.bincount(pairs, minlength=BUCKETS), np.bincount(pairs[owner == 1], minlength=BUCKETS)
-    expected = total * (one / len(labels))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.where(total >= 3, (ones - expected) ** 2 / np.maximum(expected * (1 - one / len(labels)), 1e-9), 0)
-    best = np.argsort(-chi, kind="stable")[:kept]
-    best = np.sort(best[chi[best] > 10])
-    places = {int(b): i for i, b in enumerate(best)}
-    x = np.zeros((len(rows), len(best)), np.float32)
-    index = np.full(BUCKETS, -1)
+    best = telling(rows, labels)
+    index = np.full(BUCKETS, -1, np.int32)
     index[best] = np.arange(len(best))
-    for i, r in enumerate(rows):
-        at = index[r]
-        x[i, at[at >= 0]] = 1
+    lists = [index[r] for r in rows]
+    lists = [at[at >= 0] for at in lists]
+    sizes = np.array([len(at) for at in lists])
+    edges, entry = np.concatenate(([0], np.cumsum(sizes))), np.concatenate(lists)
     rng = np.random.default_rng(SEED)
     y = labels.astype(np.float32)
     parts = [np.zeros(1, np.float32), np.zeros(len(best), np.float32), rng.normal(0, 0.02, (len(best), VECTOR)).astype(np.float32)]
@@ -95,12 +120,16 @@ def train(rows: list[np.ndarray], labels: np.ndarray, share: float, kept: int =
         order = rng.permutation(len(rows))
         for low in range(0, len(rows), batch):
             pick = order[low : low + batch]
-            xb, (b, w, v) = x[pick], parts
-            s = xb @ v
-            z = b[0] + xb @ w + 0.5 * ((s**2).sum(axis=1) - xb @ (v**2).sum(axis=1))
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) / len(pick)
-            gx = xb.T @ g
-            grads = [np.array([g.sum()], np.float32), gx + 1e-4 * w, xb.T @ (g[:, None] * s) - v * gx[:, None] + 1e-3 * v]
+            own, ends = sizes[pick], np.cumsum(sizes[pick])
+            terms = entry[np.repeat(edges[pick] - ends + own, own) + np.arange(ends[-1])]
+            owner = np.repeat(np.arange(len(pick)), own)
+            b, w, v = parts
+            vx = v[terms]
+            s = _summed(owner, vx, len(pick))
+            z = b[0] + np.bincount(owner, w[terms], len(pick)) + 0.5 * ((s**2).sum(axis=1) - np.bincount(owner, (vx**2).sum(axis=1), len(pick)))
+            g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) / len(pick)).astype(np.float32)
+            gx = g[owner]
+            grads = [np.array([g.sum()], np.float32), np.bincount(terms, gx, len(best)) + 1e-4 * w, _summed(terms, gx[:, None] * (s[owner] - vx), len(best)) + 1e-3 * v]
             step += 1
             for k, grad in enumerate(grads):
                 first[k] = 0.9 * first[k] + 0.1 * grad
@@ -108,7 +137,12 @@ def train(rows: list[np.ndarray], labels: np.ndarray, share: float, kept: int =
                 parts[k] = parts[k] - 0.03 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     share = min(max(share, 1e-6), 1 - 1e-6)
     bias = float(parts[0][0]) + float(np.log(share / (1 - share)) - np.log(one / zero))
-    return Machine(bias, parts[1].astype(float), parts[2].astype(float), places)
+    return Machine(bias, parts[1].astype(float), parts[2].astype(float), {int(t): i for i, t in enumerate(best)})
+
+
+def _summed(owner: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
+    """Sums of rows of ``values`` by owner."""
+    return np.stack([np.bincount(owner, values[:, k], count) for k in range(values.shape[1])], axis=1).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Machine:
@@ -148,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Machine:
 
 def scores(docs: DataFrame, machine: Machine, key: str = "doc_id") -> DataFrame:
     """Rows (key, score) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # at most ``kept`` terms
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # the terms of a bounded sample that tell
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,8 +2,7 @@
 
 Each rule is a host and a path: it fits the host and its subdomains where the url's path starts with the rule's. Rules
 are kept as one file: 64-bit xxhash keys of host + path in ascending order, beside them the full strings. Tasks map the
-file into memory, look up all keys that a batch of urls could match (every domain suffix with every length of a rule's
-path) by one vectorised binary search, and confirm hits on the stored strings, so equal keys of different strings do no
+file into memory, look up all keys that a batch of urls could match (domain suffixes and paths as long as a rule's) by one vectorised binary search, and confirm hits on the stored strings, so equal keys of different strings do no
 harm. The longest fitting rule decides (host and path together; at equal length the longer host).
 
 A url's host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case; its path goes on
@@ -41,11 +40,12 @@ class Rules:
 
     def __init__(self, path: str):
         self.file = np.memmap(path, np.uint8, "r")
-        count, lengths = np.frombuffer(self.file[:16], np.int64)
-        at = 16
+        count, lengths, hosts = np.frombuffer(self.file[:24], np.int64)
+        at = 24
         self.keys = self.file[at : (at := at + 8 * count)].view(np.uint64)
         self.ends = self.file[at : (at := at + 8 * count)].view(np.int64)
         self.lengths = self.file[at : (at := at + 8 * lengths)].view(np.int64)
+        self.host_lengths = self.file[at : (at := at + 8 * hosts)].view(np.int64)
         self.blocks = self.file[at : (at := at + count)]
         self.strings = self.file[at:]
 
@@ -53,12 +53,13 @@ class Rules:
     def write(rules: list[tuple[str, str, str]], path: str, digest) -> None:
         """``rules``: (verdict, host, path)."""
         rows = sorted((digest((h + p).encode()), (h + p).encode(), v == "block") for v, h, p in rules)
-        lengths = sorted({len(p) for _, _, p in rules})
+        lengths, hosts = sorted({len(p) for _, _, p in rules}), sorted({len(h) for _, h, _ in rules})
         with open(path, "wb") as out:
-            out.write(np.array([len(rows), len(lengths)], np.int64).tobytes())
+            out.write(np.array([len(rows), len(lengths), len(hosts)], np.int64).tobytes())
             out.write(np.array([r[0] for r in rows], np.uint64).tobytes())
             out.write(np.cumsum([len(r[1]) for r in rows], dtype=np.int64).tobytes())
             out.write(np.array(lengths, np.int64).tobytes())
+            out.write(np.array(hosts, np.int64).tobytes())
             out.write(bytes(r[2] for r in rows) + b"".join(r[1] for r in rows))
 
     def string(self, at: int) -> bytes:
@@ -68,14 +69,14 @@ class Rules:
     def judge(self, parts: list[tuple[str, str]], digest) -> list[tuple[str | None, str]]:
         """(rule, verdict) of each host and path."""
         owner, tries = [], []
-        lengths = self.lengths.tolist()
+        lengths, host_lengths = self.lengths.tolist(), self.host_lengths.tolist()
         for i, (host, path) in enumerate(parts):
             heads = [path[:n] for n in lengths if n <= len(path)]
-            while host:
-                for head in heads:
-                    owner.append(i)
-                    tries.append((host + head, len(host)))
-                host = host.partition(".")[2]
+            for n in host_lengths:
+                if n == len(host) or (0 < n < len(host) and host[-n - 1] == "."):
+                    for head in heads:
+                        owner.append(i)
+                        tries.append((host[len(host) - n :] + head, n))
         keys = np.fromiter((digest(t.encode()) for t, _ in tries), np.uint64, len(tries))
         low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
         best: dict[int, tuple] = {}

@@ -89,3 +89,33 @@ def test_toxicity_learns_pairs():
         labels.append(int(a and b))
     machine = toxicity.train(rows, np.array(labels), sum(labels) / len(labels))
     assert machine.score("insult group w1 w2") > 0.7 > max(machine.score("insult w1 w2"), machine.score("group w1 w2"))
+
+
+def test_toxicity_learns_pairs_of_words_that_tell_nothing_alone():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+
+    def text():
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = ["insult"] * a + ["group"] * b + [f"w{rng.randrange(30)}" for _ in range(8)]
+        rng.shuffle(words)
+        return " ".join(words), int(a == b)
+
+    made = [text() for _ in range(6000)]
+    rows = [np.array(sorted({t for w in set(x.split()) for t in toxicity.word_terms(w)})) for x, _ in made]
+    machine = toxicity.train(rows, np.array([y for _, y in made]), 0.5)
+    held = [text() for _ in range(1000)]
+    assert sum((machine.score(x) >= 0.5) == bool(y) for x, y in held) >= 950
+
+
+def test_toxicity_of_long_and_repeated_rows(spark):
+    rows = [(i, f"{'awful' if i % 2 else 'nice'} word{i} text") for i in range(400)] * 2
+    docs = spark.createDataFrame(rows + [(900, "awful " * 100_000), (901, "nice " * 100_000), (901, "nice " * 100_000), (902, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] * 2, "doc_id long, toxic int")
+    got = toxicity.scores(docs, toxicity.fit(docs, labels)).collect()
+    assert len(got) == 804
+    score = {r["doc_id"]: r["score"] for r in got}
+    assert score[900] > 0.9 and score[901] < 0.1 and score[1] > 0.9 > 0.1 > score[0]

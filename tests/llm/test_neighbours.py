@@ -47,3 +47,22 @@ def test_few_or_no_vectors(spark):
     assert [i for i, _ in run(spark, [(1, [1, 0]), (2, [0, 1])])[1]] == [2]
     t = table(spark, [(1, [1, 0])]).limit(0)
     assert neighbours.nearest(t, t.select(F.col("vec_id").alias("id"))).count() == 0
+
+
+def test_near_copies_are_told_apart(spark):
+    """A third of the vectors lie so close together that half precision can't rank them."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=32)
+    rows = [(i, v) for i, v in enumerate(np.concatenate((rng.normal(size=(1600, 32)), centre * (1 + rng.normal(0, 0.0025, (800, 32))))).tolist())]
+    got, truth = run(spark, rows, 40, leaf=200), exact(rows)
+    near = [q for q in got if q >= 1600]
+    assert len(near) == 20
+    assert sum(len(set(truth[q]) & {i for i, _ in got[q]}) for q in near) >= 0.9 * 5 * len(near)
+
+
+def test_components_of_any_size(spark):
+    rows = [(i, [x * f for x in v]) for i, (v, f) in enumerate(zip([[1, 2, 3], [1, 2, 4], [3, -1, 0], [1, 2, 3.5]], [1e200, 1e-200, 1.0, 1e300]))]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in neighbours.nearest(t, t.select(F.col("vec_id").alias("id"))).collect()}
+    unit = [np.array(v) / np.linalg.norm(v) for v in ([1, 2, 3], [1, 2, 4], [3, -1, 0], [1, 2, 3.5])]
+    assert len(got) == 12 and all(abs(s - unit[a] @ unit[b]) < 1e-12 for (a, b), s in got.items())

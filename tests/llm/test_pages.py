@@ -62,3 +62,14 @@ def test_empty_table(spark):
 def test_long_page(spark):
     body = "<article>" + "".join(f"<p>line {i}</p>" for i in range(20_000)) + "</article>"
     assert texts(spark, [(1, "http://a.org/1", body)])[1].count("\n") == 19_999
+
+
+def test_attributes_without_quotes(spark):
+    rows = [(1, "http://a.org/1", "<article><p title=it's>First <a href=/x?y='>link</a></p><p data-a = 'b>c' title=\"d>e\" hidden>second</p></article>")]
+    assert texts(spark, rows) == {1: "First link\nsecond"}
+
+
+def test_copies_take_no_table_of_lines():
+    lines = [f"line {i}" for i in range(30_000)]
+    assert all(pages.common_lines(lines, list(lines)))
+    assert sum(pages.common_lines(lines, lines[:9] + ["x"] + lines[10:])) == 29_999

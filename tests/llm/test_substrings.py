@@ -51,3 +51,24 @@ def test_rows_without_an_id(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(None, text), (3, text), (5, text)], "doc_id long, text string")
     assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in substrings.deduplicated(docs).collect()) == [(0, 0), (3, 0), (5, 30)]
+
+
+def test_repeated_rows_lose_nothing_by_each_other(spark):
+    """The same id twice: with the same text nothing is earlier, with another text the rows stay apart."""
+    rng = random.Random(5)
+    one, two, other = (" ".join(prose(rng, 60, 5000)) for _ in range(3))
+    rows = [(1, one)] * 2 + [(2, two), (2, other)] + [(3, one), (3, one), (4, f"{two} {other}"), (5, None), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substrings.deduplicated(docs).collect())
+    assert got == sorted([
+        (1, 60, 0, one), (1, 60, 0, one), (2, 60, 0, two), (2, 60, 0, other), (3, 60, 60, ""), (3, 60, 60, ""), (4, 120, 120, ""), (5, 0, 0, ""), (5, 0, 0, ""),
+    ])
+
+
+def test_a_line_in_every_document(spark):
+    rng = random.Random(6)
+    line = prose(rng, 30, 5000)
+    texts = [" ".join(prose(rng, 10, 5000) + line + prose(rng, 10, 5000)) for _ in range(300)]
+    docs = documents(spark, texts)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.deduplicated(docs).collect()}
+    assert got == brute(dict(enumerate(texts)), 20)

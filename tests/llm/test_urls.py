@@ -4,7 +4,7 @@ from slotcast.llm.queries import RULES
 URLS = [
     None, "", "no scheme", "http://", "http://a.net", "http://a.net/", "HTTP://A.NET/x?y", "http://net/", "http://internet/", "http://www.Example.net/en/1", "http://example.net/en", "http://example.net/de/1#/en/",
     "http://example.com/de/", "http://notexample.com/de/", "http://m.example.com/de/x/y", "http://example.com/en/", "http://a.org/fr/?q", "http://org/fr/", "http://a.org/fr", "x://y://net/", "http://a.net#/", "http://ä.net/ü",
-] + ["http://a.net/" + "x" * 100_000]
+] + ["http://a.net/" + "x" * 100_000, "http://" + "a." * 50_000 + "net/x", "http://" + "." * 50_000 + "/", "http://" + "." * 9 + "net/"]
 
 
 def expected(url):
