@@ -14,7 +14,8 @@ get their full cycle. Counts so far never exceed true counts, so nothing is acti
 A phrase whose cycle is over and that stayed below the threshold is let go at once: tasks hand on with each phrase the
 last step in which its cycle can have begun.
 
-Words of the frequent phrases. One more scan gives each frequent key its text, once per task.
+Words of the frequent phrases. Further steps, over a ``PARTS``-th of the documents each, give the frequent keys their texts:
+a task hands on each once, and later steps look only for those that have none yet.
 
 Keys have 55 bits of hash: a frequent phrase shares its key with some other of a billion phrases of its length with a
 chance of 3 in 10^8, and its count would then hold the other's too.
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import ensure_checkpoint_dir
 from .common import WordHasher, bytes_of, grams, mixed, slices, stored
 
-LEAST, LONGEST, SHARDS = 30, 4, 2
+LEAST, LONGEST, SHARDS, PARTS = 30, 4, 2, 8
 SLOTS = 1 << 23  # entries of a table of frequent phrases; each phrase sets two
 HELD = 1 << 22  # keys a task holds before it counts them
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -213,15 +214,15 @@ def frequent(sharded: list[DataFrame], least: int, longest: int) -> dict[int, Da
         step += 1
 
 
-def _named(docs: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
-    """Rows (lang, n, key, phrase, c): texts of the phrases whose key's slot is set, once per task.
+def _named(docs: DataFrame, frequent_ones: np.ndarray, unnamed: np.ndarray, longest: int) -> DataFrame:
+    """Rows (lang, n, key, phrase, c): texts of the unnamed ones of the frequent phrases, once per task.
 
     Rows of n = 0 hold numbers of words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_packed(table))  # of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast((_packed(frequent_ones), _packed(unnamed)))  # of fixed size
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, texts = _unpacked(shared.value), Texts()
+        (known, wanted), texts = map(_unpacked, shared.value), Texts()
         met: set[int] = set()
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -235,10 +236,11 @@ def _named(docs: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
                 shorter = None
                 for n in range(1, longest + 1):
                     keys, inside = keys_of(words, piece, seed, n)
-                    good = inside & (marks(wanted, keys) >> np.uint8(n) & 1 == 1)
+                    good = inside & (marks(known, keys) >> np.uint8(n) & 1 == 1)
                     if n > 1 and len(keys):  # parts of a frequent phrase are frequent
                         good &= shorter[:-1] & shorter[1:]
                     shorter, places = good, np.flatnonzero(good)
+                    places = places[marks(wanted, keys[places]) >> np.uint8(n) & 1 == 1]
                     distinct, first = np.unique(keys[places], return_index=True)
                     for key, i in zip(distinct.view(np.int64).tolist(), places[first].tolist()):
                         if key not in met:
@@ -267,19 +269,27 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards:
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    rows.withColumn("shard", F.monotonically_increasing_id() % shards).write.partitionBy("shard").option("compression", "zstd").parquet(path)
-    whole = spark.read.schema("lang string, text string, shard int").parquet(path)
-    sharded = [whole.where(F.col("shard") == j).select("lang", "text") for j in range(shards)]
+    place = F.monotonically_increasing_id() % (PARTS * shards)
+    rows.withColumn("part", place).write.partitionBy("part").option("compression", "zstd").parquet(path)
+    whole = spark.read.schema("lang string, text string, part int").parquet(path)
+    sharded = [whole.where(F.col("part") % shards == j).select("lang", "text") for j in range(shards)]
     state = frequent(sharded, least, longest)
     found = None
     for part in state.values():
         part = part.where("hot is not null").select(length_of("key").alias("n"), "key", sum((F.col(f"c{j}") for j in range(shards)), F.lit(0).cast("long")).alias("f"))
         found = part if found is None else found.unionByName(part)
     found = stored(found)
-    table = _table(found, F.expr("shiftleft(1L, n)"), longest + 1)
-    named = stored(_named(whole.select("lang", "text"), table, longest).groupBy("n", "key", "lang").agg(F.min("phrase").alias("phrase"), F.sum("c").alias("words")))
-    phrases = stored(named.join(found.drop("n"), "key").select("lang", "n", "phrase", "f"))
-    return phrases, named.where("n = 0").select("lang", F.col("words").alias("n"))
+    left, named, all_of_them = found, None, None
+    for part in range(PARTS):
+        table = _table(left, F.expr("shiftleft(1L, n)"), longest + 1)
+        all_of_them = table if all_of_them is None else all_of_them
+        some = _named(whole.where(F.floor(F.col("part") / shards) == part).select("lang", "text"), all_of_them, table, longest)
+        some = stored(some.groupBy("n", "key", "lang").agg(F.min("phrase").alias("phrase"), F.sum("c").alias("words")))
+        named = some if named is None else named.unionByName(some)
+        left = stored(left.join(some.select("key"), "key", "left_anti"))
+    once = named.where("n > 0").groupBy("key").agg(F.min_by("lang", "phrase").alias("lang"), F.min("phrase").alias("phrase"))
+    phrases = stored(once.join(found, "key").select("lang", "n", "phrase", "f"))
+    return phrases, named.where("n = 0").groupBy("lang").agg(F.sum("words").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, inside: int = 80, top: int | None = None) -> DataFrame:
