@@ -82,14 +82,24 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     top = np.argsort(-often * (1 - often), kind="stable")[:FREQUENT]
     place = np.full(len(buckets), -1)
     place[top] = np.arange(len(top))
-    x = np.zeros((count, len(top)), np.float32)
-    at, owner = place[entry], np.repeat(np.arange(count), sizes)
-    x[owner[at >= 0], at[at >= 0]] = 1
-    p = x.mean(axis=0)
-    x -= p
-    joint = x.T @ (x * (labels - share).astype(np.float32)[:, None])  # third central moments
-    both, spread = (x.T @ x) / count, p * (1 - p)
-    variance = np.maximum(np.outer(1 - 2 * p, 1 - 2 * p) * both + np.outer(spread, spread) - both**2, 1e-9) * count * share * (1 - share)
+    p = often[top].astype(np.float32)
+    both, joint = (np.zeros((len(top), len(top)), np.float32) for _ in range(2))
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    for low in range(0, count, 512):  # central moments of two terms, and of two terms and the label
+        high = min(low + 512, count)
+        at = place[entry[edges[low] : edges[high]]]
+        owner = np.repeat(np.arange(high - low), sizes[low:high])
+        x = np.zeros((high - low, len(top)), np.float32)
+        x[owner[at >= 0], at[at >= 0]] = 1
+        x -= p
+        both += x.T @ x
+        joint += x.T @ (x * (labels[low:high] - share).astype(np.float32)[:, None])
+    both /= count
+    spread = p * (1 - p)
+    variance = np.outer(1 - 2 * p, 1 - 2 * p) * both
+    variance += np.outer(spread, spread)
+    variance -= both**2
+    variance = np.maximum(variance, 1e-9, out=variance) * np.float32(count * share * (1 - share))
     rare = np.outer(p, p) * count * share * (1 - share) < 5
     alike = np.abs(both) > 0.5 * np.sqrt(np.outer(spread, spread))  # a word and its beginning
     paired = ((joint**2 > TOGETHER**2 * variance) & ~rare & ~alike).any(axis=1)
@@ -170,14 +180,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Machine:
                         own = seen[word] = word_terms(word)
                     found.update(own)
                 out.append(sorted(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "terms"])
+            packed = pa.array([np.array(x, "<i4").tobytes() for x in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "terms"])
 
     texts = only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chosen)
-    rows = texts.mapInArrow(terms, "doc_id long, terms array<int>").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").collect()
-    rows.sort(key=lambda r: (r["place"], r["doc_id"]))
-    picked = [r for k in (0, 1) for r in [r for r in rows if r["toxic"] == k][:per_class]]
+    # Terms stay in Arrow buffers; the arrays below are views of them.
+    rows = texts.mapInArrow(terms, "doc_id long, terms binary").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").toArrow()
+    rows = rows.sort_by([("place", "ascending"), ("doc_id", "ascending")])
+    said = rows["toxic"].to_numpy()
+    picked = np.concatenate([np.flatnonzero(said == k)[:per_class] for k in (0, 1)])
     share = counts.get(1, 0) / sum(counts.values())
-    return train([np.array(r["terms"], np.int64) for r in picked], np.array([r["toxic"] for r in picked], int), share)
+    return train([np.frombuffer(rows["terms"][int(i)].as_buffer(), "<i4") for i in picked], said[picked].astype(int), share)
 
 
 def scores(docs: DataFrame, machine: Machine, key: str = "doc_id") -> DataFrame:
