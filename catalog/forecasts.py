@@ -5,13 +5,14 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from slotcast.operators.autoreg import ArxSpec, adf_test, arx_fit, arx_forecast, arx_residuals
+from slotcast.operators.autoreg import ArxSpec, arx_fit, arx_forecast, arx_residuals
 from slotcast.operators.css import CssModel, css_fit, css_forecast, css_residuals
 from slotcast.operators.folds import bounds_list
 from slotcast.operators.linear import align_predictions, score_windows, walk_forward_cv
 from slotcast.operators.scaling import fit_scaler, scale_train
 from slotcast.operators.refit import Huber, refit_per_fold
 from slotcast.operators.slices import holdout_tail
+from slotcast.operators.unitroot import adf_test
 from slotcast.plans.forecast import classical_forecast, forecast_prepared, holdout_eval
 from slotcast.plans.prepare import prepare
 from slotcast.schema import FEATURES

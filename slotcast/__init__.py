@@ -11,7 +11,7 @@ from .functions.calendar import (
     arimax_exog, fourier_arimax, fourier_sarima, sarima_exog, temporal_cyclical, temporal_features, temporal_parts,
 )
 from .functions.domain import domain_features, nan_to_null, sign_label
-from .operators.autoreg import ArxModel, ArxSpec, adf_test, arx_fit, arx_forecast, arx_residuals
+from .operators.autoreg import ArxModel, ArxSpec, arx_fit, arx_forecast, arx_residuals
 from .operators.calibrate import (
     Calibrator, calibrate_apply, calibrate_fit, calibration_summary, sigmoid_temperature,
 )
@@ -41,6 +41,7 @@ from .operators.stats import (
     acf, acf_bars, autocorrelation, box_summary, center_marks, histogram, lag_correlation, pacf, target_stats,
 )
 from .operators.timeline import Layout, Timeline, open_timeline, plan_layout
+from .operators.unitroot import adf_test
 from .operators.windows import (
     difference, fill_lags, lag_and_roll, lag_features, rolling_features, row_index, sequence_windows, undifference,
     undifference_all,

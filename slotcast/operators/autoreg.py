@@ -10,7 +10,6 @@ stand in for the unobserved shocks.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -21,7 +20,6 @@ from ..schema import TARGET
 from ..session import materialize
 from .gram import gram
 from .horizon import forecast_steps
-from .slices import first_rows
 from .timeline import HOME, Layout, Timeline, plan_layout
 
 # Up to this many series the coefficients (a few dozen numbers each) are broadcast.
@@ -374,100 +372,3 @@ def _level_weights(spec: ArxSpec):
         return -np.convolve(own, steps)[1:], float(beta[0]) if skip else 0.0, moving
 
     return weigh
-
-
-# --- stationarity -----------------------------------------------------------
-# MacKinnon's (1994) response surface for the constant-only test, one variable.
-ADF_TAU_MAX, ADF_TAU_MIN, ADF_TAU_STAR = 2.74, -18.83, -1.61
-ADF_SMALL_P = (2.1659, 1.4412, 0.038269)
-ADF_LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
-
-
-def mackinnon_p(stat: float) -> float:
-    if stat > ADF_TAU_MAX:
-        return 1.0
-    if stat < ADF_TAU_MIN:
-        return 0.0
-    coef = ADF_SMALL_P if stat <= ADF_TAU_STAR else ADF_LARGE_P
-    z = sum(c * stat ** i for i, c in enumerate(coef))
-    return 0.5 * (1 + math.erf(z / math.sqrt(2)))
-
-
-def _aic(m: np.ndarray, lags: int, size: float) -> float:
-    at = [*range(2 + lags), len(m) - 1]
-    ssr = max(_solve(m[np.ix_(at, at)])[1], 1e-300)
-    return size * (math.log(2 * math.pi * ssr / size) + 1) + 2 * (2 + lags)
-
-
-def _statistic(m: np.ndarray, lags: int) -> tuple[float, int]:
-    """Statistic of the level's weight, and sample size."""
-    at = [*range(2 + lags), len(m) - 1]
-    own = m[np.ix_(at, at)]
-    k = 2 + lags
-    beta, ssr = _solve(own)
-    if own[0, 0] <= k:
-        return float("nan"), int(own[0, 0])
-    variance = ssr / (own[0, 0] - k) * np.linalg.pinv(own[:k, :k])[1, 1]
-    return (float(beta[1] / math.sqrt(variance)) if variance > 0 else float("nan")), int(own[0, 0])
-
-
-def adf_test(df: DataFrame, column: str = TARGET, max_rows: int | None = None, series=(), order=("date",),
-             layout: Layout | None = None, chunk_rows: int | None = None) -> DataFrame:
-    """Unit-root test with a constant, per series; the lag count minimises AIC. ``d`` is the differencing it asks for.
-
-    Two passes of cross products over (1, level, lagged steps, step): on the common sample of all lag counts to choose
-    one, then on the chosen count's own, longer sample. Only the small sums of a series meet in one task. With
-    ``max_rows`` the first so many rows of each series count. Missing values are left out; series of fewer than 8
-    values get no statistic and d = 1.
-    """
-    keys, order = list(series) or ["__all"], list(order)
-    data = df.select(*series, *order, F.col(column).cast("double").alias("y"))
-    if max_rows is not None:
-        data = first_rows(data, max_rows, series=series, order=order)
-    data = data.filter(F.col("y").isNotNull())
-    data = data if series else data.withColumn("__all", F.lit(0))
-    n = F.count(F.lit(1))
-    deepest = F.greatest(F.lit(0), F.least(F.ceil(F.pow(n / 100.0, 0.25) * 12), F.floor(n / 2) - 2)).cast("int")
-    sizes = materialize(data.groupBy(*keys).agg(n.alias("n"), deepest.alias("lags"), F.avg("y").alias("mean")))
-    count, most = sizes.agg(F.count(F.lit(1)), F.max("lags")).first()
-    kinds = {f.name: f.dataType.simpleString() for f in data.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
-    most = most or 0
-    layout = layout or plan_layout(data.select(*keys, *order), keys, order, chunk_rows)
-    width = most + 3
-
-    def sums(lags: DataFrame) -> DataFrame:
-        """Cross products of each series' sample for its number of lags; lags beyond it are zero."""
-        t = Timeline(_attach(data, lags, keys, ["lags", "mean"], count), layout, most + 1)
-        step = t.df.withColumns({"__level": F.lag("y").over(t.window) - F.col("mean"), "__step": F.col("y") - F.lag("y").over(t.window)})
-        cols = {f"__s{k}": F.when(F.col("lags") >= k, F.lag("__step", k).over(t.window)).otherwise(0.0) for k in range(1, most + 1)}
-        design = _home(t, step.withColumns(cols)).withColumn("__one", F.lit(1.0))
-        return gram(design, ["__one", "__level", *cols, "__step"], keys)
-
-    def whole(pdf: pd.DataFrame) -> np.ndarray:
-        m = np.zeros((width, width))
-        i, j = pdf["i"].to_numpy(), pdf["j"].to_numpy()
-        m[i, j] = m[j, i] = pdf["g"].to_numpy()
-        return m
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = whole(pdf)
-        used = [k for k in range(most + 1) if k == 0 or m[1 + k, 1 + k] > 0]
-        lags = min(used, key=lambda k: _aic(m, k, m[0, 0])) if m[0, 0] else 0
-        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "lags": [lags]})
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = whole(pdf)
-        lags = max([0, *(k for k in range(1, most + 1) if m[1 + k, 1 + k] > 0)])
-        stat, used = _statistic(m, lags)
-        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "statistic": [stat], "p_value": [mackinnon_p(stat)], "used_lag": [lags], "nobs": [used]})
-
-    long = sizes.filter("n >= 8")
-    chosen = sums(long).groupBy(*keys).applyInPandas(choose, f"{schema}, lags int")
-    chosen = materialize(long.select(*keys, "mean").join(chosen, keys))
-    tested = sums(chosen).groupBy(*keys).applyInPandas(test, f"{schema}, statistic double, p_value double, used_lag int, nobs bigint")
-    out = sizes.select(*keys).join(tested, keys, "left").select(
-        *keys, *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("statistic", "p_value")), F.coalesce("used_lag", F.lit(0)).alias("used_lag"),
-        F.coalesce("nobs", F.lit(0).cast("bigint")).alias("nobs"), F.when(F.col("p_value") < 0.05, 0).otherwise(1).alias("d"),
-    )
-    return out.drop("__all")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.calendar import arimax_exog, fourier_arimax, fourier_sarima, sarima_exog
-from ..operators.autoreg import ArxModel, ArxSpec, adf_test, arx_fit, arx_forecast
+from ..operators.autoreg import ArxModel, ArxSpec, arx_fit, arx_forecast
 from ..operators.css import BLOCK_ROWS, CssModel, css_fit, css_forecast
 from ..operators.calibrate import FREE, SCRIPT_C, Calibrator, calibrate_apply, calibrate_fit
 from ..operators.evaluate import directional_accuracy, error_metrics
@@ -16,6 +16,7 @@ from ..operators.linear import LinearModel, align_predictions, fit_ridge, score_
 from ..operators.scaling import exog_stats, inverse_scale, standardize_exog
 from ..operators.timeline import plan_layout
 from ..operators.slices import holdout_tail, last_rows, temporal_split
+from ..operators.unitroot import adf_test
 from ..schema import (
     ADF_ROWS, ARIMA_HOLDOUT_ROWS, ARIMA_TRAIN_ROWS, FEATURES, SEQUENCE_LENGTH, TARGET, VALIDATION_FRACTION, present,
 )

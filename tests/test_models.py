@@ -10,7 +10,7 @@ from slotcast import (
     fit_ridge, fit_scaler, fold_bounds, kmeans_elbow, overfit_gap, plan_layout, regime_summary, scale_test, scale_train,
     score_windows, sigmoid_temperature, walk_forward_cv, walk_forward_folds,
 )
-from slotcast.operators.autoreg import mackinnon_p
+from slotcast.operators.unitroot import mackinnon_p
 from slotcast.schema import CORE, TRAIN_SCHEMA
 
 KW = dict(series=("series",), order=("ts", "id"))
