@@ -4,7 +4,9 @@ The model asks for 10 starts for each of 9 cluster counts. Run one after the
 other that is 90 fits, each reading the table once per iteration. Here all
 starts advance together: one pass assigns every row under every unfinished
 model and returns per-task sums, so the table is read once per iteration for
-the whole set.
+the whole set. About a thousand cells with their row counts stand for the table
+between passes: starts settle on them, and after each pass they settle on them
+again, shifted by what the table's step said otherwise, so few passes are left.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from ..schema import (
     CORE, ELBOW_RANGE, REGIME_INITS, REGIME_MAX_ITER, REGIME_SEED, REGIMES, TARGET, regime_columns,
 )
 
-# Candidate starting centres drawn per round, as a multiple of the largest cluster count, and rounds.
-OVERSAMPLING, OVERSAMPLING_ROUNDS = 8, 4
+# Cells that stand for the table while starts settle: about so many are drawn per round, and rounds.
+CELLS_PER_ROUND, CELL_ROUNDS = 256, 4
 TOLERANCE = 1e-4
 
 
@@ -56,49 +58,67 @@ def _spread_starts(x: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.n
     return _settle(x, weight, np.array(centres))
 
 
-def _settle(x: np.ndarray, weight: np.ndarray, centres: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Moves starting centres to rest on the small array, so that the full table needs few passes."""
+def _step(x: np.ndarray, weight: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Means of the weighted points nearest to each centre; a centre without points stays."""
+    label = ((centres ** 2).sum(1) - 2 * x @ centres.T).argmin(1)
+    count = np.bincount(label, weights=weight, minlength=len(centres))
+    sums = np.stack([np.bincount(label, weights=weight * x[:, d], minlength=len(centres)) for d in range(x.shape[1])], 1)
+    return np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+
+
+def _settle(x: np.ndarray, weight: np.ndarray, centres: np.ndarray, shift=0.0, rounds: int = 300) -> np.ndarray:
+    """Moves centres to rest on the small array, so that the full table needs few passes.
+
+    ``shift`` is what a step of the full table adds to one of the array. Where the shifted steps rest, the table's own
+    steps rest too, if the shift is still the same there.
+    """
     for _ in range(rounds):
-        label = ((centres ** 2).sum(1) - 2 * x @ centres.T).argmin(1)
-        count = np.bincount(label, weights=weight, minlength=len(centres))
-        sums = np.stack([np.bincount(label, weights=weight * x[:, d], minlength=len(centres)) for d in range(x.shape[1])], 1)
-        new = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+        new = _step(x, weight, centres) + shift
         if np.allclose(new, centres):
             break
         centres = new
     return centres
 
 
-def _candidates(points: DataFrame, columns, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted candidate centres from all rows by distance-weighted oversampling.
+def _cells(points: DataFrame, columns) -> tuple[np.ndarray, np.ndarray]:
+    """Means and row counts of about a thousand cells that cover all rows.
 
-    A round draws each point with a chance in proportion to its squared distance from the candidates so far, about
-    ``OVERSAMPLING * most`` of them. The draw is a hash of the point's coordinates and the round, so it is the same
-    however the table is partitioned. Every row then counts for its nearest candidate.
+    Cells form around rows drawn by distance: in a round each row has a chance in proportion to its squared distance from
+    those drawn so far. The draw is a hash of the row's coordinates and the round, so it is the same however the table is
+    partitioned. A round only measures distances to what the round before drew.
     """
     first = points.orderBy(F.xxhash64(*columns, F.lit(-1)), *columns).limit(1).toPandas().to_numpy(dtype=float)
-    found = first
-    for number in range(OVERSAMPLING_ROUNDS):
-        held = found
-
-        def distances(batches):
-            for pdf in batches:
-                x = pdf.iloc[:, :len(columns)].to_numpy(dtype=float)
-                near = np.full(len(x), np.inf)
-                for c in held:
-                    near = np.minimum(near, ((x - c) ** 2).sum(1))
-                yield pdf.assign(near=near)
-
-        chance = (F.xxhash64(*columns, F.lit(number)).cast("double") / F.lit(2.0 ** 64) + 0.5).alias("chance")
-        schema = ", ".join([f"`{c}` double" for c in columns] + ["chance double", "near double"])
-        measured = points.select(*columns, chance).mapInPandas(distances, schema)
-        total = measured.agg(F.sum("near")).first()[0]
+    found, new = first, first
+    state = points.withColumn("near", F.lit(float("inf")))
+    schema = ", ".join([f"`{c}` double" for c in columns] + ["near double"])
+    for number in range(CELL_ROUNDS):
+        last, state = state, _nearer(state, new, schema)
+        state.persist(StorageLevel.MEMORY_AND_DISK)
+        total = state.agg(F.sum("near")).first()[0]
+        last.unpersist()
         if not total:
             break
-        drawn = measured.filter(F.col("chance") < F.col("near") * (OVERSAMPLING * most / total)).select(*columns).distinct()
-        found = np.unique(np.concatenate([found, drawn.toPandas().to_numpy(dtype=float)]), axis=0)
-    counts = _pass(points, {0: found}, len(columns)).get(0, {})
-    return found, np.array([counts.get(i, (0.0,))[0] for i in range(len(found))], dtype=float)
+        chance = F.xxhash64(*columns, F.lit(number)).cast("double") / F.lit(2.0 ** 64) + 0.5
+        drawn = state.filter(chance < F.col("near") * (CELLS_PER_ROUND / total)).select(*columns).distinct()
+        new = drawn.orderBy(*columns).toPandas().to_numpy(dtype=float)
+        found = np.unique(np.concatenate([found, new]), axis=0)
+    state.unpersist()
+    sums = _pass(points, {0: found}, len(columns)).get(0, {})
+    held = [v for _, v in sorted(sums.items()) if v[0]]
+    return np.array([np.array(total) / n for n, _, total in held]), np.array([n for n, _, _ in held], dtype=float)
+
+
+def _nearer(state: DataFrame, new: np.ndarray, schema: str) -> DataFrame:
+    """Squared distances to the nearest row drawn so far, given those before ``new`` was drawn."""
+
+    def measure(batches):
+        for pdf in batches:
+            x, near = pdf.iloc[:, :-1].to_numpy(dtype=float), pdf["near"].to_numpy(dtype=float, copy=True)
+            for c in new:
+                near = np.minimum(near, ((x - c) ** 2).sum(1))
+            yield pdf.assign(near=near)
+
+    return state.mapInPandas(measure, schema)
 
 
 def _pass(points: DataFrame, models: dict[int, np.ndarray], dims: int):
@@ -110,19 +130,17 @@ def _pass(points: DataFrame, models: dict[int, np.ndarray], dims: int):
         for pdf in batches:
             x = pdf.to_numpy(dtype=float)
             for m, centres in models.items():
-                dist = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(2)
-                label = dist.argmin(1)
-                k = len(centres)
-                part = totals[m]
+                # the row's own square is the same for all centres
+                label = ((centres ** 2).sum(1) - 2 * x @ centres.T).argmin(1)
+                k, part = len(centres), totals[m]
                 part[:, 0] += np.bincount(label, minlength=k)
-                part[:, 1] += np.bincount(label, weights=dist[np.arange(len(x)), label], minlength=k)
+                part[:, 1] += np.bincount(label, weights=((x - centres[label]) ** 2).sum(1), minlength=k)
                 for d in range(dims):
                     part[:, 2 + d] += np.bincount(label, weights=x[:, d], minlength=k)
-        for m, part in totals.items():
-            out = pd.DataFrame(part, columns=["n", "inertia", *names])
-            out.insert(0, "centre", range(len(part)))
-            out.insert(0, "model", m)
-            yield out
+        out = pd.DataFrame(np.concatenate(list(totals.values())), columns=["n", "inertia", *names])
+        out.insert(0, "centre", np.concatenate([np.arange(len(c)) for c in models.values()]))
+        out.insert(0, "model", np.repeat(list(models), [len(c) for c in models.values()]))
+        yield out[out["n"] > 0]
 
     schema = "model int, centre int, n double, inertia double, " + ", ".join(f"{c} double" for c in names)
     sums = points.mapInPandas(partial, schema).groupBy("model", "centre").agg(
@@ -145,21 +163,32 @@ def _fit_all(df: DataFrame, columns, wanted: list[tuple[int, int]], max_iter: in
         n, variance = stats[0], float(np.mean([v or 0.0 for v in stats[1:]]))
         if not n:
             raise ValueError("no complete rows to cluster")
-        x, weight = _candidates(points, list(columns), max(k for k, _ in wanted))
-        centres = {m: _spread_starts(x, weight, k, seed) for m, (k, seed) in enumerate(wanted)}
-        active = set(centres)
+        x, weight = _cells(points, list(columns))
+        trial = {m: _spread_starts(x, weight, k, seed) for m, (k, seed) in enumerate(wanted)}
+        centres: dict[int, np.ndarray] = {}
+        lowest = {m: float("inf") for m in trial}
+        active, plain = set(trial), set()
         for _ in range(max_iter):
             if not active:
                 break
-            got = _pass(points, {m: centres[m] for m in active}, dims)
+            got = _pass(points, {m: trial[m] for m in active}, dims)
             for m in list(active):
-                new = centres[m].copy()
+                inertia = sum(v[1] for v in got[m].values())
+                if inertia > lowest[m] and m not in plain:
+                    # the settled step led upwards: from the best centres on, the table's own steps, which never do
+                    plain.add(m)
+                    trial[m] = centres[m]
+                    continue
+                exact = trial[m].copy()
                 for c, (count, _, sums) in got[m].items():
-                    if count:
-                        new[c] = np.array(sums) / count
-                if ((new - centres[m]) ** 2).sum() <= TOLERANCE * variance:
+                    exact[c] = np.array(sums) / count
+                lowest[m], centres[m] = inertia, exact
+                if ((exact - trial[m]) ** 2).sum() <= TOLERANCE * variance:
                     active.discard(m)
-                centres[m] = new
+                elif m in plain:
+                    trial[m] = exact
+                else:
+                    trial[m] = _settle(x, weight, exact, exact - _step(x, weight, trial[m]))
         final = _pass(points, centres, dims)
         return [(centres[m], sum(v[1] for v in final[m].values())) for m in range(len(wanted))]
     finally:
