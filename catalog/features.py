@@ -13,11 +13,11 @@ from slotcast.operators.scaling import (
     exog_stats, fit_scaler, inverse_scale, scale_train, scaler_table, scaling_summary, standardize_exog, target_range,
 )
 from slotcast.schema import SCALED_STEP1
-from slotcast.sources.sampletables import market_test, market_train, table
+from slotcast.sources.sampletables import event_series, market_test, market_train, table
 
 from . import q, qs, register
 from .samples import (
-    DOMAIN_SQL, DOW, GRID, MARKET, PARTS, SLOT, STEP1_CTE, STEP1_SCALED, TEST, TRAIN, WAVES, step1_scaled, step1_tables,
+    DOMAIN_SQL, DOW, EVENTS, GRID, MARKET, PARTS, SLOT, STEP1_CTE, STEP1_SCALED, TEST, TRAIN, WAVES, step1_scaled, step1_tables,
 )
 
 WEEK = f"({DOW} * 96 + {SLOT})"
@@ -75,6 +75,13 @@ def _(spark, sf):
     return median_fill(regular_grid(market_train(spark, sf).select("date", "spread")))
 
 
+@register("median_fill_series", f"""WITH {EVENTS}, h AS (SELECT series, ts, event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM es)
+SELECT series, ts, event_id, {q('coalesce(value, quantile_cont(value, 0.5) OVER (PARTITION BY series))', 'value')} FROM h""")
+def _(spark, sf):
+    holes = event_series(spark, sf).withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
+    return median_fill(holes, "value", series=("series",), small=512)
+
+
 def _z(columns, source, digits=4, guard=False):
     out = []
     for c in columns:

@@ -50,6 +50,7 @@ from .plans.forecast import classical_forecast, forecast_prepared, holdout_eval
 from .plans.prepare import Prepared, featured, prepare, step1_features
 from .session import configure, ensure_checkpoint_dir, local_session
 from .sources.market import load_market, load_market_checked, load_prepared, load_test
+from .sources.models import load_model, save_model
 from .sources.sinks import (
     load_calibrator, load_config, load_regimes, load_scaler, read_prepared, read_versioned, save_state, submission, versions,
     write_cv, write_history, write_prepared, write_submission, write_versioned,

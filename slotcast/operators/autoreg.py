@@ -269,7 +269,7 @@ def _regression_fit(data: DataFrame, spec: ArxSpec, target: str, series, order,
     lone = ArxModel(replace(spec, p=0, q=0, P=0, Q=0), series, order, target, weights, count)
     errors = arx_fit(_with_errors(data, lone), _errors_only(spec), "__v", series, order, layout)
     found = weights.select(*series, F.slice("beta", 1 + len(constant), len(columns)).alias("__weights"))
-    table = errors.table.join(found, list(series)) if series else errors.table.crossJoin(F.broadcast(found))  # one row each
+    table = _attach(errors.table, found, series, ["__weights"], count) if series else errors.table.crossJoin(F.broadcast(found))  # one row each
     table = table.withColumn("beta", F.concat("beta", "__weights")).drop("__weights")
     return ArxModel(spec, series, order, target, materialize(table), errors.count)
 
@@ -299,7 +299,7 @@ def arx_fit(df: DataFrame, spec: ArxSpec, target: str = TARGET, series=(), order
     two = _fit_table(_home(t, design), _stage_two_columns(spec), series, "beta", spec, means, count)
     if one is not None:
         keys = list(series) or ["__all"]
-        two = two.join(one.select(*keys, "beta1"), keys)
+        two = _attach(two, one.select(*keys, "beta1"), keys, ["beta1"], count)
     else:
         two = two.withColumn("beta1", F.array().cast("array<double>"))
     # a few dozen numbers per series, stored: what they were computed from is let go

@@ -30,7 +30,8 @@ def gram(df: DataFrame, columns, group=()) -> DataFrame:
         for key, m in held.items():
             out = pd.DataFrame({"i": upper_i, "j": upper_j, "g": m[upper_i, upper_j]})
             for name, value in zip(group, key):
-                out[name] = value
+                # a missing key comes as NaN, whatever the column's type
+                out[name] = pd.Series([None if pd.isna(value) else value] * len(out), dtype=object)
             yield out[[*group, "i", "j", "g"]]
 
     def partial(batches):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import DATE, INTERVAL_MINUTES
-from .quantiles import exact_quantiles
+from ..session import materialize
+from .quantiles import BROADCAST_INTERVALS, SMALL, exact_quantiles, quantile_table
 
 
 def sort_by_date(df: DataFrame, ties=(), ts: str = DATE) -> DataFrame:
@@ -46,8 +47,22 @@ def regular_grid(df: DataFrame, series=(), ts: str = DATE, minutes: int = INTERV
     return joined.select(*df.columns)
 
 
-def median_fill(df: DataFrame, column: str = "spread", by: DataFrame | None = None) -> DataFrame:
-    """Missing values become the median of the column (of ``by``'s column, when given)."""
+def median_fill(df: DataFrame, column: str = "spread", by: DataFrame | None = None, series=(), small: int = SMALL) -> DataFrame:
+    """Missing values become the median of the column (of ``by``'s column, when given), with ``series`` that of their series.
+
+    A series without any value keeps its missing ones. Series of more than ``small`` values are narrowed by counting, so
+    no task holds one.
+    """
+    if series:
+        medians = materialize(quantile_table(by if by is not None else df, column, [0.5], ["__median"], series, small))
+        lone = [F.col(k).alias(f"__k_{k}") for k in series]
+        cond = F.lit(True)
+        for k in series:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+        count = medians.count()
+        medians = medians.select(*lone, "__median")
+        filled = df.join(F.broadcast(medians) if count <= BROADCAST_INTERVALS else medians, cond, "left")
+        return filled.withColumn(column, F.coalesce(F.col(column), F.col("__median"))).select(*df.columns)
     (median,) = exact_quantiles(by if by is not None else df, column, [0.5])
     if median is None:
         return df
