@@ -186,3 +186,13 @@ def test_edge_rows_are_found_without_sorting_everything(uneven, order, monkeypat
     for n in (1, 40, 2500, 5000):
         assert set(first_rows(uneven, n, order=order).toPandas()["id"]) == set(ids[:n])
         assert set(last_rows(uneven, n, order=order).toPandas()["id"]) == set(ids[-n:])
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 256])
+def test_blockwise_windows_beside_filled_lags(uneven, monkeypatch, chunk_rows):
+    cols, args = ("value", "holes"), dict(series=("series",), order=("ts", "id"), chunk_rows=chunk_rows)
+    plain = lag_and_roll(uneven, cols, roll_base=cols, **args).toPandas().sort_values("id", ignore_index=True)
+    monkeypatch.setattr(windows_module, "BLOCKWISE_FROM", 0)
+    blocked = lag_and_roll(uneven, cols, roll_base=cols, **args).toPandas().sort_values("id", ignore_index=True)
+    assert len(blocked) == uneven.count()
+    pd.testing.assert_frame_equal(blocked[list(plain)], plain, rtol=1e-9, atol=1e-9)
