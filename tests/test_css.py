@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import same
+from slotcast.operators import css as css_module, recurrence
 from slotcast.operators.autoreg import ArxSpec, arx_fit, arx_forecast
 from slotcast.operators.css import Css, CssModel, css_fit, css_forecast, css_residuals
 from slotcast.operators.horizon import block_values
@@ -247,3 +248,41 @@ def test_steps_ahead_equal_one_run():
     parts = [block_values(psi, 0.7, moving, last, shocks, first, min(13, 60 - first)) for first in range(0, 60, 13)]
     assert np.allclose(np.concatenate(parts), whole)
     assert np.isnan(block_values(psi, 0.7, moving, np.array([1.0, np.nan, 1, 1]), shocks, 0, 3)).all()
+
+
+def test_a_step_is_taken_for_all_series_at_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    css = Css(ArxSpec(p=1, q=1, exog=("x",)))
+    blocks = []
+    for rows in rng.integers(500, 520, 40).tolist() + [1, 2, 30, 700]:
+        z, x = rng.normal(5, 2, rows + css.reach), rng.normal(0, 1, (rows + css.reach, 1))
+        z[:css.reach] = x[:css.reach] = np.nan
+        if rows % 3 == 0:
+            z[rows // 2] = np.nan
+        blocks.append((z, x))
+    alone = [css.fit_blocks([b])[0] for b in blocks]
+    calls, plain = [], css_module.run_many
+    monkeypatch.setattr(css_module, "run_many", lambda *a: calls.append(len(a[0])) or plain(*a))
+    fits = css.fit_blocks(iter(blocks))
+    # side by side as alone, to the last bit, and no more rounds than the longest fit of each length needs
+    assert all(np.array_equal(a["best"], b["best"]) and a["rounds"] == b["rounds"] for a, b in zip(fits, alone))
+    assert len(calls) <= 2 * 5 * max(f["rounds"] for f in fits) and max(calls) >= 20
+    monkeypatch.setattr(css_module, "BATCH_ROWS", 1200)
+    monkeypatch.setattr(css_module, "HELD_ROWS", 5000)
+    assert all(np.array_equal(a["best"], b["best"]) for a, b in zip(css.fit_blocks(iter(blocks)), alone))
+
+
+def test_states_of_parts_are_dealt_out_by_their_number(spark, monkeypatch):
+    rows = [(s, p, 5, [1.0 + s, 0.5], [0.3]) for s in range(30) for p in range(4)] + [(None, 0, 5, [2.0, 1.0], [0.3])]
+    ends = spark.createDataFrame(rows, "s long, part long, n long, end array<double>, params array<double>")
+    weights = lambda p: ([np.array([p[0]]), np.array([0.5 * p[0]])], [1, 1])
+    tasks, plain = [], recurrence.materialize
+    monkeypatch.setattr(recurrence, "materialize", lambda df: tasks.append(df.rdd.getNumPartitions()) or plain(df))
+    monkeypatch.setattr(recurrence, "TASK_PARTS", 10)
+    got = {(r["s"], r["part"]): r["state"] for r in recurrence.incoming(ends, ["s"], weights).collect()}
+    assert tasks == [13] and len(got) == 121 and got[None, 0] == [0.0, 0.0]
+    for s in range(30):
+        state = np.zeros(2)
+        for p in range(4):
+            assert np.allclose(got[s, p], state)
+            state = np.array([1.0 + s, 0.5]) + np.array([0.3, 0.15]) ** 5 * state
