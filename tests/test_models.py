@@ -317,3 +317,27 @@ def test_unit_root_test(spark):
     one = adf_test(series_frame(spark, steady)).first()
     assert one["statistic"] == pytest.approx(got["steady"]["statistic"], rel=1e-9)
     assert mackinnon_p(-2.8621) == pytest.approx(0.05, abs=0.001) and mackinnon_p(-3.43) == pytest.approx(0.01, abs=0.001)
+
+
+def test_small_systems_are_dealt_out_by_their_number(spark, monkeypatch):
+    from slotcast.operators import autoreg, gram as gram_module
+
+    rng = np.random.default_rng(5)
+    rows = [(None if s == 7 else s, i, None if i == 11 else float("nan") if i == 17 else float(rng.normal(50, 9)), float(rng.normal(3, 1))) for s in range(40) for i in range(30)]
+    df = spark.createDataFrame(rows, "s long, i long, y double, x double")
+    wide = {(r["s"], r["i"], r["j"]): r["g"] for r in gram_module.gram(df, ["y", "x"], ["s"]).collect()}
+    pairs = [(0, 0), (0, 1), (1, 1)]
+    for most in (8, 0):
+        monkeypatch.setattr(gram_module, "PLAIN_COLUMNS", most)
+        got = gram_module.gram_arrays(df, ["y", "x"], ["s"]).collect()
+        assert len(got) == 40
+        for r in got:
+            assert np.allclose(r["g"], [wide[r["s"], a, b] for a, b in pairs])
+    clean = df.filter("not isnan(y)")
+    plain = arx_fit(clean, ArxSpec(p=1, d=0, exog=("x",)), "y", ("s",), ("i",)).table.toPandas().sort_values("s", ignore_index=True)
+    tasks, kept = [], autoreg.materialize
+    monkeypatch.setattr(autoreg, "materialize", lambda t: tasks.append(t.rdd.getNumPartitions()) or kept(t))
+    monkeypatch.setattr(autoreg, "TASK_SERIES", 4)
+    dealt = arx_fit(clean, ArxSpec(p=1, d=0, exog=("x",)), "y", ("s",), ("i",)).table.toPandas().sort_values("s", ignore_index=True)
+    assert tasks[:2] == [10, 10]
+    assert len(dealt) == 40 and all(np.allclose(a, b) for a, b in zip(dealt["beta"], plain["beta"]))
