@@ -196,3 +196,22 @@ def test_blockwise_windows_beside_filled_lags(uneven, monkeypatch, chunk_rows):
     blocked = lag_and_roll(uneven, cols, roll_base=cols, **args).toPandas().sort_values("id", ignore_index=True)
     assert len(blocked) == uneven.count()
     pd.testing.assert_frame_equal(blocked[list(plain)], plain, rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 256])
+def test_rolling_tasks_grow_with_the_rows(spark, uneven, monkeypatch, chunk_rows):
+    many = spark.range(400).select(F.col("id").alias("s")).crossJoin(spark.range(20).select("id", (F.col("id") * 1.5).alias("value")))
+    args = dict(windows=(4,), series=("s",), order=("id",))
+    frames = {
+        rolling_features: (many, dict(args)),
+        lag_and_roll: (uneven.select("series", "ts", "id", "value"), dict(lag_base=("value",), lags=(1,), windows=(4,), series=("series",), order=("ts", "id"), chunk_rows=chunk_rows)),
+    }
+    for step, (df, kw) in frames.items():
+        columns = {"columns" if step is rolling_features else "roll_base": ("value",)}
+        monkeypatch.undo()
+        plain = step(df, **columns, **kw)
+        monkeypatch.setattr(windows_module, "ROLL_ROWS", 100)
+        dealt = step(df, **columns, **kw)
+        cut = f", {-(-df.count() // 100)}), REPARTITION_BY_NUM"
+        assert cut not in plain._jdf.queryExecution().toString() and cut in dealt._jdf.queryExecution().toString()
+        same(dealt, plain, ["s", "id"] if "s" in df.columns else ["id"])
