@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +31,52 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def _kept() -> dict:
+    """What ``per_worker`` keeps: one table per Python worker, by key."""
+    return sys.modules.setdefault("_slotcast_worker", types.ModuleType("_slotcast_worker")).__dict__.setdefault("kept", {})
+
+
 def per_worker(key, make):
-    """What ``make`` returns, made once in each Python worker and kept there for its later tasks."""
-    kept = sys.modules.setdefault("_slotcast_worker", types.ModuleType("_slotcast_worker")).__dict__
+    """What ``make`` returns, made once in each Python worker and kept there for its later tasks.
+
+    Only the last one asked for is kept: workers outlive an operator, and the next one's tasks need the room.
+    """
+    kept = _kept()
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 
 
+def returned() -> None:
+    """Memory that a task has freed goes back to the system: workers stay, with all that their allocators hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
+def let_go(key=None) -> None:
+    """A worker drops what other operators keep there: of ``per_worker`` only ``key`` stays."""
+    kept = _kept()
+    others = [k for k in kept if k != key]
+    for other in others:
+        del kept[other]
+    if others:
+        returned()
+
+
+def frugal(make: Callable, key=None) -> Callable:
+    """``make`` for mapInArrow, in workers that hold nothing of other operators, before and after the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(key)
+        yield from make(batches)
+        returned()
+
+    return run
+
+
 def stored(df: DataFrame, **options) -> DataFrame:
     """Writes a table to the folder that all executors share and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mixed, per_worker
+from .common import frugal, mixed, per_worker
 
 BITS, SIZE, SEED = 16, 16, 7
 LENGTHS = (1, 2, 3, 4)
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, key: str = "doc_id", per_language: int = 500, languages
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *packed], names=["lang", "place", "id", "ids", "counts"])
 
     # Bags stay in Arrow buffers; the arrays below are views of them.
-    found = chosen.mapInArrow(bagged, "lang string, place long, id string, ids binary, counts binary").toArrow()
+    found = chosen.mapInArrow(frugal(bagged, "letters"), "lang string, place long, id string, ids binary, counts binary").toArrow()
     found = found.sort_by([("place", "ascending"), ("id", "ascending")])
     seen: dict[str, int] = {}
     bags, labels = [], []
@@ -223,4 +223,4 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected, pa.bool_())], names=[key, "lang_pred", "score", "rejected"])
 
     rows = docs.select(key, "text")
-    return rows.mapInArrow(make, f"{key} {rows.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(frugal(make, "letters"), f"{key} {rows.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")

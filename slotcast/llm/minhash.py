@@ -28,11 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHasher, bytes_of, contracted_labels, grams, least_labels, lookup, mixed, only, slices, stored
+from .common import WordHasher, bytes_of, contracted_labels, frugal, grams, least_labels, let_go, lookup, mixed, only, slices, stored
 
 REGISTERS, BANDS, BAND_ROWS = 512, 64, 8
 BASE, SCALE, TOP = 1.001, 20.0, 65534
 BLOCK = 1024
+# Bytes of text turned into sets at a time: the arrays of words and shingles are many times as large.
+TEXT_BYTES = 1 << 18
 # Standard errors of the estimate below the threshold at which a pair is still confirmed.
 MARGIN = 4.5
 FEATURES = "doc_id long, n_shingles long, set_key binary, sketch binary"
@@ -91,7 +93,7 @@ def features(docs: DataFrame, n: int, lower: bool) -> DataFrame:
         hasher = WordHasher(lower)
         for batch in batches:
             data, offsets = bytes_of(batch.column(1))
-            for low, high in slices(offsets):
+            for low, high in slices(offsets, TEXT_BYTES):
                 words, before = hasher.words(data, offsets[low : high + 1])
                 elements, at = shingle_sets(words, before, n)
                 rows = sketches(elements, at)
@@ -104,7 +106,7 @@ def features(docs: DataFrame, n: int, lower: bool) -> DataFrame:
                     pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in rows], pa.binary()),
                 ], names=["doc_id", "n_shingles", "set_key", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, FEATURES)
+    return docs.select("doc_id", "text").mapInArrow(frugal(make), FEATURES)
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
@@ -175,6 +177,7 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     """Settles each (cluster, block): rows (cluster, a, b) of links, and one row (cluster, centre, null)."""
 
     def run(key, table):
+        let_go()
         ids = table.column("doc_id").to_numpy()
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(ids), -1)
         sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
@@ -217,12 +220,12 @@ def _elements(docs: DataFrame, members: DataFrame, n: int, lower: bool) -> DataF
         hasher = WordHasher(lower)
         for batch in batches:
             data, offsets = bytes_of(batch.column(1))
-            for low, high in slices(offsets):
+            for low, high in slices(offsets, TEXT_BYTES):
                 words, before = hasher.words(data, offsets[low : high + 1])
                 elements, at = shingle_sets(words, before, n)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low).cast(pa.int64()), pa.array([elements[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], names=["doc_id", "elements"])
 
-    return only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), members).mapInArrow(make, "doc_id long, elements binary")
+    return only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), members).mapInArrow(frugal(make), "doc_id long, elements binary")
 
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int, lower: bool, block: int = BLOCK) -> DataFrame:

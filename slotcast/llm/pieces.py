@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import per_worker
+from .common import frugal, per_worker
 
 SPACE = "▁"
 RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -196,4 +196,4 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([pieces.decode(i) for i in ids], pa.string())], names=[key, "ids", "decoded"])
 
     rows = docs.select(F.col(key), F.col(text).alias("text"))
-    return rows.mapInArrow(make, f"{key} {rows.schema[key].dataType.simpleString()}, ids binary, decoded string")
+    return rows.mapInArrow(frugal(make, ("pieces", model)), f"{key} {rows.schema[key].dataType.simpleString()}, ids binary, decoded string")

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import per_worker
+from .common import frugal, per_worker
 
 KINDS = ("assign", "access", "hex", "token")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -94,7 +94,7 @@ def secrets(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
 
     rows = docs.select(key, "text", *carried)
     kept = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carried)
-    return rows.mapInArrow(make, f"{key} {rows.schema[key].dataType.simpleString()}, spans array<struct<kind: string, start: int, end: int>>" + ", redacted string" * redacted + kept)
+    return rows.mapInArrow(frugal(make, ("secrets", vocabulary)), f"{key} {rows.schema[key].dataType.simpleString()}, spans array<struct<kind: string, start: int, end: int>>" + ", redacted string" * redacted + kept)
 
 
 def blotted(text: str, spans: list[tuple[str, int, int]], mark: str = "[secret]") -> str:

@@ -1,13 +1,16 @@
 """The pipeline's stages against brute-force versions on the smallest tables."""
 
+import weakref
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from helpers import near_components
 
 import corpus_pipeline
-from slotcast.llm import secrets
-from slotcast.llm.common import prepared
+from slotcast.llm import minhash, secrets
+from slotcast.llm.common import per_worker, prepared
 from slotcast.llm.queries import tokenizer
 
 FOLDER = "/root/testdata/sf0.001"
@@ -42,3 +45,47 @@ def test_odd_rows_go_through(spark):
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs, FOLDER).count() >= 1
     assert corpus_pipeline.STAGES[0][1](spark, docs, FOLDER).count() == 0
+
+
+class Taken:
+    """Takes the function that an operator gives to Spark."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, make, schema):
+        self.make = make
+        return self
+
+
+class Encoder:
+    """Stands for the tables of an operator."""
+
+
+def test_workers_let_go_of_what_other_operators_keep():
+    """Executors reuse their workers: tokenizers of an earlier stage don't stay in those that sketch texts."""
+    held = weakref.ref(per_worker("an encoder", Encoder))
+    assert per_worker("an encoder", Encoder) is held()
+    rows = Taken()
+    minhash.features(rows, 5, True)
+    batch = pa.record_batch({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array(["a b c d e f", None])})
+    assert [r for out in rows.make(iter([batch])) for r in out.column(1).to_pylist()] == [2, 0]
+    assert held() is None
+
+
+def test_a_worker_keeps_one_operators_tables():
+    first = weakref.ref(per_worker("first", Encoder))
+    second = per_worker("second", Encoder)
+    assert first() is None and per_worker("second", Encoder) is second
+
+
+def test_sets_do_not_depend_on_how_texts_are_sliced(monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 23}" for i in range(60)) for k in range(1, 9)] + ["", None, "one two"]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    found = []
+    for size in (1, 100, 1 << 20):
+        monkeypatch.setattr(minhash, "TEXT_BYTES", size)
+        rows = Taken()
+        minhash.features(rows, 5, True)
+        found.append([r for out in rows.make(iter([batch])) for r in out.to_pylist()])
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(texts)
