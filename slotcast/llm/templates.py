@@ -29,12 +29,15 @@ NAMES_RE = r"([\p{Ll},;] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
 NUMBERS_RE = r"([0-9]+(?:[.,:/][0-9]+)*)"
 UNITS_RE = f"({NUMBER} ?)((?:{UNITS}))([^\\p{{L}}]|$)"
 OTHER_RE = f"[^\\p{{L}}{NAME}-{UNIT}]+"
+# The SQL has NAMES_RE and NUMBERS_RE as they stand. Java follows a repeated group by recursion, a thousand names in a row
+# over its stack, but a possessive one by a loop. Both find the same: nothing stands after the group that it could give way to.
+NAMES_LOOP, NUMBERS_LOOP = (p.removesuffix(")*)") + ")*+)" for p in (NAMES_RE, NUMBERS_RE))
 
 
 def _marked(text: Column) -> Column:
     """Names and numbers replaced, lower case, units still in place."""
-    named = F.regexp_replace(text, NAMES_RE, f"$1 {NAME} ")
-    return F.regexp_replace(F.lower(named), NUMBERS_RE, f" {NUMBER} ")
+    named = F.regexp_replace(text, NAMES_LOOP, f"$1 {NAME} ")
+    return F.regexp_replace(F.lower(named), NUMBERS_LOOP, f" {NUMBER} ")
 
 
 def _canonical(marked: Column) -> Column:
@@ -57,8 +60,8 @@ def windows(rows: DataFrame, key: str, size: int) -> DataFrame:
 
 def _slots(size: int) -> Column:
     """Placeholder values inside the window at ``pos``: an array of struct(at, value), null if there is none."""
-    names = F.regexp_extract_all("t", F.lit(NAMES_RE), 2)
-    numbers = F.regexp_extract_all(F.lower("t"), F.lit(NUMBERS_RE), 1)
+    names = F.regexp_extract_all("t", F.lit(NAMES_LOOP), 2)
+    numbers = F.regexp_extract_all(F.lower("t"), F.lit(NUMBERS_LOOP), 1)
     units = F.regexp_extract_all("marked", F.lit(UNITS_RE), 2)
 
     def value(i):

@@ -1,4 +1,7 @@
+import random
+
 from helpers import documents
+from pyspark.sql import functions as F
 
 from slotcast.llm import templates
 
@@ -36,6 +39,25 @@ def test_empty_tables(spark):
     assert templates.contaminated(documents(spark, ["a"]).limit(0), empty).count() == 0
 
 
+def test_long_runs_of_names_and_numbers(spark):
+    """Neither a run of names nor the parts of a number are followed by recursion, on either side."""
+    names, parts = "von " + "Von Zürich " * 50_000, "12" + "".join(f"{'.,:/'[i % 4]}{i}" for i in range(100_000))
+    texts = [f"a {names}b", f"a {parts} b", f"{ITEM} So the {names}and the {parts}", f"So the {names}and the {parts} of {PLAIN}", "Von " * 50_000]
+    got = judged(spark, texts, [ITEM, PLAIN, f"then the {names}and the {parts} went home again with many others that evening"])
+    assert [got[i]["items"] for i in range(len(texts))] == [[], [], [0], [1], []]
+
+
+def test_patterns_find_what_those_of_the_sql_find(spark):
+    rng = random.Random(4)
+    pieces = ["a", "é", "\U00010428", "a ", "; ", "B", "É", "\U00010400", " B", " É", " ", ",", ".", ":", "/", "7", "80", "\n"]
+    texts = ["".join(rng.choices(pieces, k=60)) for _ in range(2000)]
+    table = documents(spark, texts)
+    for plain, loop, group in ((templates.NAMES_RE, templates.NAMES_LOOP, 2), (templates.NUMBERS_RE, templates.NUMBERS_LOOP, 1)):
+        assert plain != loop
+        found = table.select(*(F.regexp_extract_all("text", F.lit(p), group).alias(n) for n, p in (("plain", plain), ("loop", loop))))
+        assert found.where("size(plain) > 1").count() > 1000 and found.where("plain <> loop").count() == 0
+
+
 def test_finds_what_contains_an_item(spark):
     folder = "/root/testdata/sf0.001"
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
